@@ -143,3 +143,145 @@ def trade_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def price_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_price_history(silver_prices(spark, sf_dir))
+
+
+def json_record(broken: Column) -> Column:
+    """JSON text of a line's trade; `broken` numbers its defect, others are good."""
+    columns = trade_columns()
+    columns["fees"] = F.coalesce(columns["fees"], F.lit(0.0))
+    columns["fx_rate"] = F.coalesce(columns["fx_rate"], F.lit(1.0))
+    columns["currency_code"] = F.coalesce(columns["currency_code"], F.lit("gbp"))
+    # Defects of one field; a NULL leaves the field out.
+    changed = {
+        "book_id": {1: F.lit(None).cast("string"), 6: "true"},
+        "fees": {3: "null"},
+        "price": {4: '"12.5"'},
+        "currency_code": {5: "978"},
+        "source_file": {10: "false"},
+        "custody_country": {11: "null"},
+        "fx_rate": {12: "[1]"},
+        "instrument_id": {13: "{}"},
+    }
+    fields = []
+    for name, kind in TRADE_EVENT_CONTRACT.fields.items():
+        # Numbers have two decimals, which print the same on every engine.
+        value = (
+            F.concat(F.lit('"'), columns[name], F.lit('"'))
+            if kind == "string"
+            else columns[name].cast("decimal(20,2)").cast("string")
+        )
+        if name in changed:
+            value = pick(broken, changed[name], value)
+        fields.append(F.concat(F.lit(f'"{name}":'), value))
+    fields.append(F.when(broken == 2, '"zz_note":"n","aa_note":1'))
+    whole = F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}"))
+    return pick(broken, {7: "42", 8: "[]", 9: '{"external_event_id":'}, whole)
+
+
+def defect() -> Column:
+    """Defect number of a line: only orders of every third month have any."""
+    number = (F.col("l_orderkey") * 7 + F.col("l_partkey")) % 97
+    return F.when(F.month("o_orderdate") % 3 == 0, number).otherwise(F.lit(0))
+
+
+def _batch() -> Column:
+    return F.concat(F.lit("B-"), F.date_format("o_orderdate", "yyyy-MM"))
+
+
+def line_position() -> Column:
+    return F.col("l_orderkey") * 10 + F.col("l_linenumber")
+
+
+def trade_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw JSON records with their batch and position; a batch is one order month."""
+    return (
+        trade_base(spark, sf_dir)
+        .withColumn("defect", defect())
+        .select(
+            _batch().alias("batch_id"),
+            line_position().alias("pos"),
+            F.trunc("o_orderdate", "month").alias("ingestion_date"),
+            json_record(F.col("defect")).alias("record"),
+        )
+    )
+
+
+def good_trade_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trade_base(spark, sf_dir).select(
+        _batch().alias("batch_id"),
+        line_position().alias("pos"),
+        F.trunc("o_orderdate", "month").alias("ingestion_date"),
+        json_record(F.lit(0)).alias("record"),
+    )
+
+
+def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payload documents of every root shape, one per line."""
+    record, good = F.col("record"), F.col("good")
+    shape = F.col("l_linenumber")
+    text = pick(
+        shape,
+        {
+            1: record,
+            2: F.concat(F.lit("["), good, F.lit(","), record, F.lit("]")),
+            3: F.lit("[]"),
+            4: F.concat(F.lit("["), record, F.lit("]")),
+            5: F.lit("true"),
+            6: F.lit('"text"'),
+        },
+        F.concat(F.lit("["), good, F.lit(",7,"), good, F.lit("]")),
+    )
+    return (
+        trade_base(spark, sf_dir)
+        .withColumn("defect", defect())
+        .withColumns({"record": json_record(F.col("defect")), "good": json_record(F.lit(0))})
+        .select(
+            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias(
+                "payload_id"
+            ),
+            text.alias("payload"),
+        )
+    )
+
+
+def quote_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw CSV price rows, all texts, one per line; some cells broken or missing."""
+    day = F.trunc("l_shipdate", "month").cast("string")
+    n = (F.col("l_orderkey") + F.col("l_partkey")) % 41
+    price = F.col("l_extendedprice").cast("decimal(20,2)").cast("string")
+    flag = F.when(F.col("l_linenumber") % 2 == 0, "true").otherwise("no")
+    cells = {
+        "session_date": day,
+        "instrument_id": pick(n, {1: "   "}, F.concat(F.lit("INS-"), F.col("l_partkey") % 50)),
+        "price_datetime": F.concat(day, F.lit(" 00:00:00")),
+        "price": pick(
+            n,
+            {
+                2: "abc",
+                3: "",
+                4: "nan",
+                5: "-Infinity",
+                6: "1e5",
+                7: " 2.5 ",
+                8: "1_000",
+                9: "1__0",
+                10: ".5",
+                11: "1.",
+                12: "1.0d",
+                13: "+7",
+            },
+            price,
+        ),
+        "currency_code": F.lit("usd"),
+        "price_source_id": F.when(n == 14, F.lit(None).cast("string")).otherwise("SRC1"),
+        "is_closing_price": pick(n, {15: "yes", 16: "0", 17: "TRUE", 18: "y", 19: "t"}, flag),
+        "is_opening_price": pick(n, {20: " No ", 21: ""}, flag),
+        "ingestion_ts": F.when(n == 22, F.lit(None).cast("string")).otherwise(
+            F.concat(day, F.lit(" 00:00:00"))
+        ),
+    }
+    return table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("P-"), F.date_format("l_shipdate", "yyyy-MM")).alias("batch_id"),
+        line_position().alias("pos"),
+        *[c.alias(name) for name, c in cells.items()],
+    )
