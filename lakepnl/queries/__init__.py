@@ -1,5 +1,5 @@
 """The registered queries, each with the SQL that checks it where there is one."""
 
-from lakepnl.queries import contracts, lake, marts
+from lakepnl.queries import contracts, lake, landing, marts
 
-MODULES = (lake, marts, contracts)
+MODULES = (lake, marts, contracts, landing)
