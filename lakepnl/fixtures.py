@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakepnl.functions.run_keys import PROJECT, env_key, partition_key, sort_key
+from lakepnl.operators.ordered import RANGE_WIDTH, previous_in_order
 from lakepnl.plans.lake import (
     silver_price_history,
     silver_trade_event,
@@ -285,3 +287,120 @@ def quote_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         line_position().alias("pos"),
         *[c.alias(name) for name, c in cells.items()],
     )
+
+
+LAYER_OF_EVENT = {
+    "error": "raw",
+    "click": "lake_validated_to_standardized",
+    "view": "lake_standardized_to_silver",
+    "signup": "redshift_silver",
+    "purchase": "gold",
+}
+
+
+def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events as layer updates of runs: a run is a day and one of five batches.
+
+    Batches 0 and 1 belong to prod; batch 3 writes the warehouse layer under its old key.
+    """
+    batch = F.col("user_id") % 5
+    kind, value = F.col("event_type"), F.col("value")
+    layer = F
+    for name, target in LAYER_OF_EVENT.items():
+        layer = layer.when(
+            kind == name,
+            F.when(batch == 3, "redshift").otherwise(target) if name == "signup" else target,
+        )
+    env = F.when(batch < 2, "prod").otherwise("dev")
+    day = F.col("ts").cast("date").cast("string")
+    return table(spark, sf_dir, "events").select(
+        partition_key(F.lit(PROJECT), env, day).alias("pk"),
+        sort_key(batch.cast("string")).alias("sk"),
+        env_key(F.lit(PROJECT), env).alias("env_key"),
+        env.alias("env"),
+        day.alias("business_date"),
+        batch.cast("string").alias("batch_id"),
+        F.col("event_id").alias("seq"),
+        F.col("ts").cast("string").alias("t"),
+        layer.alias("layer"),
+        F.when(value > 20, "SUCCEEDED").when(value > 5, "PENDING").otherwise("FAILED").alias(
+            "status"
+        ),
+        F.when(value <= 5, F.repeat(F.lit("e"), 2500)).alias("error"),
+        "user_id",
+        "event_type",
+        "value",
+    )
+
+
+def run_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The update log: each event writes a layer, and every third event a raw table too."""
+    events = run_events(spark, sf_dir)
+    common = ["pk", "sk", "env_key", "business_date", "t"]
+    lane = F.when(F.col("value") > 10, "validated").otherwise("rejected")
+    layers = events.select(
+        *common,
+        (F.col("seq") * 2).alias("seq"),
+        F.lit("layer").alias("kind"),
+        "layer",
+        "status",
+        "error",
+        F.lit("layer_status").alias("action"),
+    )
+    tables = events.select(
+        *common,
+        (F.col("seq") * 2 + 1).alias("seq"),
+        F.lit("table").alias("kind"),
+        F.lit("raw").alias("layer"),
+        lane.alias("status"),
+        F.lit("ingest_table").alias("action"),
+        F.when(F.col("user_id") % 2 == 0, "price_history")
+        .otherwise("trade_event")
+        .alias("table_name"),
+        lane.alias("lane"),
+        F.concat_ws("/", lane, "seq").alias("s3_key"),
+    )
+    return layers.unionByName(tables, allowMissingColumns=True)
+
+
+def change_feed(spark: SparkSession, sf_dir: str, width: int = RANGE_WIDTH) -> DataFrame:
+    """Old and new image of each event's layer, with malformed and foreign records.
+
+    Statuses come in mixed case; some images have no date, no run or no layers, and
+    some records are removals.
+    """
+    events = previous_in_order(
+        run_events(spark, sf_dir), ["pk", "sk", "layer"], "seq", "status", "before", width
+    )
+    n = F.col("user_id") % 29
+    status = "struct<status:string>"
+
+    def layers(value: str) -> Column:
+        doc = F.struct(
+            F.when(n == 5, F.lower(value)).otherwise(F.col(value)).alias("status")
+        ).cast(status)
+        return F.create_map("layer", doc)
+
+    missing = F.lit(None).cast(f"map<string,{status}>")
+
+    def image(layers_of: Column) -> Column:
+        return F.struct(
+            "pk",
+            F.when(n == 7, F.lit("X")).otherwise(F.col("sk")).alias("sk"),
+            F.when(n == 9, " ")
+            .when(n == 10, F.lit(None).cast("string"))
+            .otherwise(F.col("business_date"))
+            .alias("business_date"),
+            layers_of.alias("layers"),
+        )
+
+    has_before = F.col("before").isNotNull()
+    return events.select(
+        "seq",
+        F.when(n == 3, "REMOVE")
+        .when(has_before, "MODIFY")
+        .otherwise("INSERT")
+        .alias("event_name"),
+        image(F.when(n == 11, missing).otherwise(layers("status"))).alias("new_image"),
+        F.when(has_before, image(layers("before"))).alias("old_image"),
+    )
