@@ -100,11 +100,12 @@ def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = (
         table(spark, sf_dir, "lineitem")
         .select(
-            month_start("l_shipdate").cast("string").alias("session_date"),
+            month_start("l_shipdate").alias("session"),
             (F.col("l_partkey") % 50).alias("instrument"),
         )
         .where(F.col("instrument") % 7 != 0)
         .distinct()
+        .withColumn("session_date", F.col("session").cast("string"))
     )
     midnight = F.concat("session_date", F.lit(" 00:00:00"))
     closing = F.col("is_closing_price")

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python's float() grammar: single underscores between digits, signed inf/nan words.
+# Python's float() grammar: single underscores between digits, signed inf/nan words,
+# white space on both sides.
 _DIGITS = r"\d+(?:_\d+)*"
 PYTHON_FLOAT = (
-    rf"(?i)^[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:e[+-]?{_DIGITS})?"
-    r"|inf(?:inity)?|nan)$"
+    rf"(?iU)^\s*[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:e[+-]?{_DIGITS})?"
+    r"|inf(?:inity)?|nan)\s*$"
 )
 TRUE_WORDS = ("true", "1", "yes")
 FALSE_WORDS = ("false", "0", "no")
@@ -48,12 +49,17 @@ def integral_text(c: Column) -> Column:
     ).otherwise(text)
 
 
+def is_blank(c: Column) -> Column:
+    return ~c.rlike(r"(?U)\S")
+
+
 def is_float_text(c: Column) -> Column:
-    return strip(c).rlike(PYTHON_FLOAT)
+    return c.rlike(PYTHON_FLOAT)
 
 
 def is_boolean_text(c: Column) -> Column:
-    return F.lower(strip(c)).isin(*TRUE_WORDS, *FALSE_WORDS)
+    words = "|".join((*TRUE_WORDS, *FALSE_WORDS))
+    return c.rlike(rf"(?iU)^\s*(?:{words})\s*$")
 
 
 def is_truthy(c: Column) -> Column:

@@ -266,5 +266,12 @@ def archive_summary(outcomes: DataFrame, sample: int = 20) -> DataFrame:
         .limit(sample)
         .agg(F.sort_array(F.collect_list("text")).alias("errors"))
     )
-    # Both sides are a single row.
-    return totals.join(F.broadcast(first))
+    counters = ("processed", "archived", "error_count")
+    # Two single rows put into one.
+    return (
+        totals.unionByName(first, allowMissingColumns=True)
+        .agg(
+            *[F.max(c).alias(c) for c in counters],
+            F.first("errors", ignorenulls=True).alias("errors"),
+        )
+    )

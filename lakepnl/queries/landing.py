@@ -345,6 +345,16 @@ _TABLE_ROWS = {
 }
 _MART_BASE = [*_SILVER_ALL, cte.JOINED]
 
+
+
+def _inputs(checks: list[tuple[str, str, str]]) -> str:
+    """All inputs come from good rows: each check passes where there are rows."""
+    return "\nUNION ALL\n".join(
+        f"SELECT '{job}' AS job, '{name}' AS dataset, count(*) > 0 AS ok, '' AS reason FROM {source}"
+        for job, name, source in checks
+    )
+
+
 ORACLES = {
     "scan_json_trade_raw": sql(
         [cte.RAW_TRADES, RECORDS, "docs AS (SELECT CAST(good AS JSON) AS doc FROM records)"],
@@ -408,6 +418,16 @@ UNION ALL SELECT {_FACT} FROM silver_trades WHERE load_date = DATE '{DAY}'""",
             for column, rule in _RULES
         ),
     ),
+    "sample_contract": _inputs(
+        [("sample", "trade_event", "lineitem"), ("sample", "price_history", "lineitem")]
+    ),
+    "registry_input_check": _inputs(
+        [
+            (job, name, "lineitem")
+            for job in ("validated_to_standardized", "standardized_to_silver")
+            for name in ("trade_event", "price_history")
+        ]
+    ),
     "silver_load_check": sql(
         _SILVER_ALL,
         "\nUNION ALL\n".join(
