@@ -1,0 +1,125 @@
+"""Plans: pruning, no Python, no cross products, skewed joins split."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from lakepnl import fixtures as fx
+from lakepnl.operators import run_state as rs
+from lakepnl.plans import marts
+from lakepnl.plans.scripts import run_script
+from lakepnl.session import new_folder
+from lakepnl.sources import layers
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def facts(spark, sf):
+    base = new_folder(spark, "facts")
+    layers.replace_load(fx.trade_facts(spark, sf), f"{base}/trades", "", "full")
+    layers.replace_load(fx.price_facts(spark, sf), f"{base}/prices", "", "full")
+    return spark.read.parquet(f"{base}/trades"), spark.read.parquet(f"{base}/prices")
+
+
+def test_incremental_mart_reads_one_session_of_both_facts(facts):
+    text = plan(marts.pnl_daily(*facts, "1998-06-01"))
+    scans = re.findall(r"PartitionFilters: \[(.*?)\]", text)
+    assert len(scans) == 2 and all("session_date" in s and "1998-06-01" in s for s in scans)
+
+
+def test_full_mart_has_no_session_filter(facts):
+    assert "1998-06-01))" not in "".join(
+        re.findall(r"PartitionFilters: \[(.*?)\]", plan(marts.pnl_daily(*facts, "1998-06-01", "full")))
+    )
+
+
+def test_mart_sorts_only_grouped_rows(facts):
+    """Raw trades go into a hash aggregate; texts are compared after it."""
+    lines = [l for l in plan(marts.positions(facts[0])).splitlines() if "Aggregate" in l]
+    assert "HashAggregate" in lines[-1] and "partial_sum" in lines[-1]
+
+
+def test_script_parameters_fold(spark, facts):
+    text = "SELECT instrument_id FROM {t} WHERE :load_mode = 'full' OR session_date = try_cast(:session_date AS DATE)"
+    one = plan(run_script(spark, text, {"session_date": "1998-06-01"}, t=facts[0]))
+    assert "PartitionFilters: [isnotnull(session_date" in one and " OR " not in one
+    every = plan(run_script(spark, text, {"load_mode": "full"}, t=facts[0]))
+    assert "PartitionFilters: []" in every
+
+
+def test_layer_scan_prunes(spark, sf):
+    path = new_folder(spark, "layer")
+    layers.write_layer(fx.silver_trades(spark, sf), path)
+    text = plan(layers.scan_layer(spark, path, "1998-06-01").select("net_amount"))
+    assert "load_date" in re.search(r"PartitionFilters: \[(.*?)\]", text).group(1)
+    assert re.search(r"ReadSchema: struct<(.*?)>", text).group(1) == "net_amount:decimal(20,2)"
+
+
+NO_FILES = [n for n in entry.queries() if not n.startswith(("scan_", "stream_", "landing_", "skip_"))]
+
+
+@pytest.mark.parametrize(
+    "name",
+    [n for n in NO_FILES if n not in {
+        "dataset_row_counts", "dynamic_partition_overwrite", "fact_replace_load", "mart_replace_insert",
+        "schema_registry_apply", "sample_contract", "registry_input_check", "silver_load_check",
+        "run_archive_split",
+    }],
+)
+def test_no_python_and_no_cross_product(spark, sf, name):
+    text = plan(entry.queries()[name](spark, sf))
+    for bad in ("Python", "ArrowEval", "Cartesian", "NestedLoop"):
+        assert bad not in text
+
+
+def test_hot_key_is_split_in_the_price_join(spark):
+    """One instrument holds most trades: AQE splits its partition, all rows survive."""
+    confs = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50000",
+    }
+    before = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        day = F.lit("2020-01-01").cast("date")
+        trades = spark.range(0, 300_000, 1, 16).select(
+            day.alias("session_date"),
+            F.when(F.col("id") % 3 != 0, "hot").otherwise(F.concat(F.lit("i"), F.col("id") % 50)).alias("instrument_id"),
+            F.sha2(F.col("id").cast("string"), 256).alias("external_event_id"),
+        )
+        prices = trades.select("session_date", "instrument_id").distinct().select(
+            "*", F.lit(True).alias("is_closing_price"), F.lit(1).cast("decimal(20,8)").alias("price")
+        )
+        joined = marts.with_prices(trades, prices)
+        rows = joined.collect()
+        assert len(rows) == 300_000 and all(r["join_rows"] == 1 for r in rows)
+        assert "skew=true" in plan(joined)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_closing_prices_only(facts):
+    every = marts.pnl_daily(*facts, "1998-06-01", "full").agg(F.sum("nominal_close")).first()[0]
+    closing = marts.pnl_daily(*facts, "1998-06-01", "full", "closing").agg(F.sum("nominal_close")).first()[0]
+    once = facts[0].agg(F.sum("nominal_delta")).first()[0]
+    assert closing == once and every != once
+
+
+def test_gate_without_check_allows_all(spark, sf):
+    items = rs.fold(fx.run_updates(spark, sf))
+    requests = spark.createDataFrame(
+        [("dev", "2024-01-01", "9", "gold"), ("dev", None, "9", "gold"), ("dev", None, None, "raw")],
+        "env string, business_date string, batch_id string, layer string",
+    )
+    assert [r["allowed"] for r in rs.gate(requests, items).orderBy("layer", "business_date").collect()] == [False, False, True]
+    assert all(r["allowed"] for r in rs.gate(requests, items, skip_check=True).collect())
