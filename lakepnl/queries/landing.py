@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lakepnl import fixtures as fx
 from lakepnl.operators import contracts as ct
-from lakepnl.operators.conform import conform, violations
+from lakepnl.operators.conform import violations
 from lakepnl.plans import lake, marts
 from lakepnl.plans.catalog import apply_tables, load_table, table_name
 from lakepnl.plans.registry import dataset_order, job_input_check, sample_check, silver_load_check
@@ -218,7 +218,7 @@ def schema_registry_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
         return spark.table(table_name(table, suffix))
 
     def load(table, df: DataFrame) -> None:
-        load_table(conform(df, table), table_name(table, suffix))
+        load_table(df, table, suffix)
 
     load(STANDARDIZED_TRADE_EVENT, fx.standardized_trades(spark, sf_dir))
     load(STANDARDIZED_PRICE_HISTORY, fx.standardized_prices(spark, sf_dir))
