@@ -87,6 +87,30 @@ def raw_layer_status(
     )
 
 
+def script_layers(results: DataFrame, scripts: dict[str, tuple[str, ...]]) -> DataFrame:
+    """Status of each warehouse layer of a run, from the results of its scripts.
+
+    Results have pk, sk, seq, script and status. A layer fails with the last result of
+    any of its scripts, and succeeds only when all of them have; else it is PENDING.
+    """
+    names = [s for group in scripts.values() for s in group]
+    last = results.groupBy("pk", "sk").agg(
+        *[
+            _latest(F.col("status"), F.col("script") == name).alias(f"_{i}")
+            for i, name in enumerate(names)
+        ]
+    )
+    columns = {}
+    for layer, group in scripts.items():
+        states = F.array(*[F.coalesce(f"_{names.index(s)}", F.lit("")) for s in group])
+        columns[layer] = (
+            F.when(F.array_contains(states, "FAILED"), "FAILED")
+            .when(F.forall(states, lambda s: s == "SUCCEEDED"), "SUCCEEDED")
+            .otherwise("PENDING")
+        )
+    return last.select("pk", "sk", *[c.alias(f"{n}_status") for n, c in columns.items()])
+
+
 def execution_log(updates: DataFrame, width: int = RANGE_WIDTH) -> DataFrame:
     """The log of each run as rows with their position: appended in sequence order.
 
@@ -243,9 +267,9 @@ def cutoff_date(as_of: str, retention_days: int = 30) -> Column:
 
 
 def is_expired(env_key: str, as_of: str, retention_days: int = 30) -> Column:
-    return (F.col("env_key") == env_key) & (
-        F.col("business_date") < cutoff_date(as_of, retention_days)
-    )
+    """Whether an item goes to the archive; an item without a date stays."""
+    old = F.col("business_date") < cutoff_date(as_of, retention_days)
+    return F.coalesce((F.col("env_key") == env_key) & old, F.lit(False))
 
 
 def archive_summary(outcomes: DataFrame, sample: int = 20) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakepnl.functions.casts import (
     as_boolean,
@@ -41,6 +42,24 @@ def flatten_payload(df: DataFrame) -> DataFrame:
     return df
 
 
+def with_payload(schema: T.StructType) -> T.StructType:
+    """Schema of records that have their fields at the root or in a `payload` object."""
+    return T.StructType([*schema.fields, T.StructField("payload", schema)])
+
+
+def lift_payload(df: DataFrame) -> DataFrame:
+    """`flatten_payload` row by row, for files read with a fixed schema.
+
+    A fixed schema saves the pass over all files that inferring one would take. Records
+    of both forms may be mixed: the payload counts where the root has no event id.
+    """
+    nested = F.col("external_event_id").isNull() & F.col("payload").isNotNull()
+    names = [c for c in df.columns if c != "payload"]
+    return df.select(
+        *[F.when(nested, F.col(f"payload.{n}")).otherwise(F.col(n)).alias(n) for n in names]
+    )
+
+
 def standardize_trade_event(raw: DataFrame) -> DataFrame:
     return _project(
         raw,

@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 from lakepnl import fixtures as fx
 from lakepnl.operators import contracts as ct
 from lakepnl.operators.conform import violations
-from lakepnl.plans import lake, marts
+from lakepnl.plans import jobs, lake, marts
 from lakepnl.plans.catalog import apply_tables, load_table, table_name
 from lakepnl.plans.registry import dataset_order, job_input_check, sample_check, silver_load_check
 from lakepnl.queries import cte
 from lakepnl.queries.contracts import RECORDS, VERDICTS, verdicts
 from lakepnl.queries.cte import sql
+from lakepnl.queries.marts import REPORT
 from lakepnl.schemas import (
     ETL_COLUMNS,
     FACT_PRICE_HISTORY,
@@ -36,7 +37,13 @@ from lakepnl.schemas import (
 )
 from lakepnl.session import new_folder
 from lakepnl.sources import layers
-from lakepnl.sources.raw import has_files, scan_csv, scan_json, with_landing_fields
+from lakepnl.sources.raw import (
+    has_files,
+    lane_path,
+    scan_csv,
+    scan_json,
+    with_landing_fields,
+)
 
 DAY = "1998-06-01"
 CONFIG = {
@@ -77,7 +84,8 @@ def write_silver(spark: SparkSession, sf_dir: str, *datasets: str) -> str:
 
 
 def scan_json_trade_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = scan_json(spark, land_good_trades(spark, sf_dir), documents=False)
+    path = lane_path(land_good_trades(spark, sf_dir), "trade_event")
+    raw = scan_json(spark, path, documents=False)
     return raw.select(
         *[
             F.col(n).cast("decimal(20,2)").alias(n) if kind == "number" else F.col(n)
@@ -255,6 +263,23 @@ def schema_registry_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def gold_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed JSON and CSV files through all hops and loads, read back from the report."""
+    base = new_folder(spark, "jobs")
+    raw, std, silver = f"{base}/raw", f"{base}/standardized", f"{base}/silver"
+    records = fx.good_trade_records(spark, sf_dir).withColumn("lane", F.lit("validated"))
+    layers.write_lanes(_landed(records, "trade_event"), raw)
+    prices = fx.raw_prices(spark, sf_dir)
+    prices.write.option("header", True).csv(lane_path(raw, "price_history"))
+    jobs.validated_to_standardized(
+        spark, CONFIG, lambda name: lane_path(raw, name), std, documents=False
+    )
+    jobs.standardized_to_silver(spark, CONFIG, std, silver)
+    jobs.load_facts(spark, silver, f"{base}/facts", load_mode="full")
+    jobs.build_gold(spark, f"{base}/facts", f"{base}/gold", DAY, load_mode="full")
+    return spark.read.parquet(f"{base}/gold/gold_report_pnl").drop(*ETL_COLUMNS)
+
+
 def sample_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw, prices = land_good_trades(spark, sf_dir), land_prices(spark, sf_dir)
     return sample_check(
@@ -304,6 +329,7 @@ QUERIES = {
     "mart_replace_insert": mart_replace_insert,
     "schema_registry_apply": schema_registry_apply,
     "conform_violations": conform_violations,
+    "gold_from_files": gold_from_files,
     "sample_contract": sample_contract,
     "registry_input_check": registry_input_check,
     "silver_load_check": silver_checks,
@@ -418,6 +444,14 @@ UNION ALL SELECT {_FACT} FROM silver_trades WHERE load_date = DATE '{DAY}'""",
             for column, rule in _RULES
         ),
     ),
+    "gold_from_files": sql(
+        [
+            cte.RAW_TRADES.replace("THEN 'eur' END", "THEN 'eur' ELSE 'gbp' END"),
+            *_MART_BASE[1:],
+            cte.pnl_cte(DAY),
+        ],
+        REPORT,
+    ),
     "sample_contract": _inputs(
         [("sample", "trade_event", "lineitem"), ("sample", "price_history", "lineitem")]
     ),

@@ -86,7 +86,7 @@ QUERIES = {
 }
 
 _ALL = [*cte.TRADES, *cte.PRICES, cte.JOINED]
-_REPORT = """SELECT session_date, book_id, instrument_id, custody_country, currency_code, market_price_close,
+REPORT = """SELECT session_date, book_id, instrument_id, custody_country, currency_code, market_price_close,
   nominal_close, market_value_close, total_pnl_daily AS pnl_daily, pnl_mtd, pnl_ytd, pnl_itd,
   'position' AS row_type FROM pnl"""
 
@@ -97,9 +97,9 @@ def _mart(select: str) -> str:
 
 ORACLES = {
     "pnl_daily": _mart("SELECT * FROM pnl"),
-    "gold_report_pnl": _mart(_REPORT),
+    "gold_report_pnl": _mart(REPORT),
     "param_sql_gold": sql(
-        [*_ALL, cte.pnl_cte(SESSION, f"session_date = DATE '{SESSION}'")], _REPORT
+        [*_ALL, cte.pnl_cte(SESSION, f"session_date = DATE '{SESSION}'")], REPORT
     ),
     "trade_price_left_join": sql(
         [

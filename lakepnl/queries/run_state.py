@@ -9,7 +9,7 @@ from lakepnl import fixtures as fx
 from lakepnl.functions import run_keys as rk
 from lakepnl.operators import run_state as rs
 from lakepnl.operators.ordered import previous_in_order
-from lakepnl.schemas import LAYERS
+from lakepnl.schemas import LAYER_SCRIPTS, LAYERS
 from lakepnl.session import new_folder
 from lakepnl.sources.layers import write_archive
 from lakepnl.streaming import router
@@ -65,6 +65,16 @@ def retention_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def script_layer_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results of the four warehouse scripts, by user, folded to their two layers."""
+    names = [s for group in LAYER_SCRIPTS.values() for s in group]
+    script = fx.pick(F.col("user_id") % 7 % 5, dict(enumerate(names)), "ddl/other.sql")
+    results = fx.run_events(spark, sf_dir).select(
+        "pk", "sk", "seq", script.alias("script"), "status"
+    )
+    return rs.script_layers(results, LAYER_SCRIPTS)
+
+
 def run_archive_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archived items as read back from the archive, and the items that stay."""
     path = new_folder(spark, "archive")
@@ -302,6 +312,7 @@ QUERIES = {
     "execution_log": execution_log,
     "runs_by_env_date": runs_by_env_date,
     "retention_candidates": retention_candidates,
+    "script_layer_status": script_layer_status,
     "run_archive_split": run_archive_split,
     "archive_summary": archive_summary,
     "layer_gate": layer_gate,
@@ -467,6 +478,25 @@ FROM (SELECT pk, sk, seq * 2 AS seq, t, layer, 'layer_status' AS action, status
         [STATE],
         f"""SELECT pk, sk, business_date, '2024-01-11' AS cutoff_date FROM runs
 WHERE env_key = '{PROD}' AND business_date < '2024-01-11'""",
+    ),
+    "script_layer_status": _sql(
+        [
+            """
+results AS (
+  SELECT pk, sk, user_id % 7 % 5 AS script, max_by(status, seq) AS status FROM run_events GROUP BY ALL
+),
+folded AS (
+  SELECT pk, sk, script // 2 AS layer, count(*) FILTER (WHERE status = 'FAILED') AS failed,
+    count(*) FILTER (WHERE status = 'SUCCEEDED') AS done FROM results WHERE script < 4 GROUP BY ALL
+),
+states AS (
+  SELECT pk, sk, layer, CASE WHEN failed > 0 THEN 'FAILED' WHEN done = 2 THEN 'SUCCEEDED' ELSE 'PENDING' END AS status
+  FROM folded
+)""",
+        ],
+        """SELECT r.pk, r.sk, coalesce(max(status) FILTER (WHERE layer = 0), 'PENDING') AS redshift_silver_status,
+  coalesce(max(status) FILTER (WHERE layer = 1), 'PENDING') AS gold_status
+FROM (SELECT DISTINCT pk, sk FROM run_events) r LEFT JOIN states s ON r.pk = s.pk AND r.sk = s.sk GROUP BY r.pk, r.sk""",
     ),
     "run_archive_split": _sql(
         [STATE],

@@ -389,6 +389,16 @@ LOADS: tuple[Load, ...] = (
 )
 
 
+# The scripts that make up each warehouse layer, in the order they run.
+LAYER_SCRIPTS: dict[str, tuple[str, ...]] = {
+    "redshift_silver": tuple(load.script for load in LOADS),
+    "gold": (
+        "silver_to_gold/silver_facts_to_gold_silver_pnl_daily.sql",
+        "silver_to_gold/gold_silver_pnl_daily_to_gold_report_pnl.sql",
+    ),
+}
+
+
 @dataclass(frozen=True)
 class JobInputs:
     """The input contract that a job checks for each dataset before it runs."""
