@@ -81,7 +81,7 @@ def trade_columns() -> dict[str, Column]:
         "fx_rate": pick(line % 4, {0: 1.0, 1: 2.0, 2: 4.0}),
         "currency_code": pick(line % 3, {0: "usd", 1: "eur"}),
         "source_file": F.lit("fixture"),
-        "ingestion_ts": text_time(F.trunc("o_orderdate", "month").cast("timestamp")),
+        "ingestion_ts": text_time(F.trunc("o_orderdate", "year").cast("timestamp")),
     }
 
 
@@ -120,7 +120,7 @@ def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("SRC1").alias("price_source_id"),
         closing.cast("string").alias("is_closing_price"),
         (~closing).cast("string").alias("is_opening_price"),
-        midnight.alias("ingestion_ts"),
+        text_time(F.trunc("session", "year").cast("timestamp")).alias("ingestion_ts"),
     )
 
 

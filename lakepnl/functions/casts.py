@@ -62,6 +62,6 @@ def is_boolean_text(c: Column) -> Column:
     return c.rlike(rf"(?iU)^\s*(?:{words})\s*$")
 
 
-def is_truthy(c: Column) -> Column:
-    """Switch text: 1, true and yes mean on."""
-    return F.lower(F.coalesce(c, F.lit(""))).isin(*TRUE_WORDS)
+def truthy(switch: bool | str | None) -> bool:
+    """A switch of the configuration: 1, true and yes mean on."""
+    return switch is True or str(switch or "").lower() in TRUE_WORDS

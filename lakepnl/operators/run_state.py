@@ -9,7 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakepnl.functions.run_keys import PROJECT, job_layer, partition_key, sort_key
+from lakepnl.functions.casts import truthy
+from lakepnl.functions.run_keys import (
+    PROJECT,
+    job_layer,
+    partition_key,
+    script_layer,
+    sort_key,
+)
 from lakepnl.operators.ordered import RANGE_WIDTH, position_in_order
 from lakepnl.schemas import EXPECTED_RAW_TABLES, LAYERS, LEGACY_LAYER_KEYS, PREVIOUS_LAYER
 
@@ -138,7 +145,7 @@ def previous_layer(layer: Column) -> Column:
     return expr
 
 
-def gate(requests: DataFrame, items: DataFrame, skip_check: bool = False) -> DataFrame:
+def gate(requests: DataFrame, items: DataFrame, skip_check: bool | str = False) -> DataFrame:
     """Adds previous_layer, allowed and reason to requests for a layer of a run.
 
     Requests carry layer, business_date, batch_id and env. The first layer and an
@@ -158,7 +165,7 @@ def gate(requests: DataFrame, items: DataFrame, skip_check: bool = False) -> Dat
         F.coalesce("batch_id", F.lit("")) == ""
     )
     reason = (
-        F.when(F.lit(skip_check) | before.isNull(), F.lit(None).cast("string"))
+        F.when(F.lit(truthy(skip_check)) | before.isNull(), F.lit(None).cast("string"))
         .when(nameless, "business date and batch id are required")
         .when(
             ~F.coalesce(layer_succeeded(F.col("layers"), before), F.lit(False)),
@@ -186,7 +193,7 @@ def _or(first: Column, second: Column) -> Column:
 
 
 def job_status(
-    events: DataFrame, as_of: str, env: str = "dev", self_reports: bool = False
+    events: DataFrame, as_of: str, env: str = "dev", self_reports: bool | str = False
 ) -> DataFrame:
     """State changes of lake jobs as layer updates.
 
@@ -215,7 +222,7 @@ def job_status(
         .withColumn(
             "recorded",
             F.col("skipped").isNull()
-            & ~((F.col("status") == "SUCCEEDED") & F.lit(self_reports)),
+            & ~((F.col("status") == "SUCCEEDED") & F.lit(truthy(self_reports))),
         )
         .withColumns(
             {
@@ -226,11 +233,11 @@ def job_status(
     )
 
 
-def direct_chain(statuses: DataFrame, stream_chain: bool = False) -> DataFrame:
+def direct_chain(statuses: DataFrame, stream_chain: bool | str = False) -> DataFrame:
     """Requests for the second lake job after a success of the first, where no stream
     router does it."""
     done = (F.col("layer") == "lake_validated_to_standardized") & (F.col("status") == "SUCCEEDED")
-    return statuses.where(done & F.lit(not stream_chain)).withColumn(
+    return statuses.where(done & F.lit(not truthy(stream_chain))).withColumn(
         "next_job", F.lit("standardized_to_silver")
     )
 
@@ -254,6 +261,24 @@ def run_context(requests: DataFrame) -> DataFrame:
     )
 
 
+def gate_scripts(
+    requests: DataFrame, items: DataFrame, skip_check: bool | str = False
+) -> DataFrame:
+    """The gate for requests to run a warehouse script, by the layer the script builds.
+
+    Requests carry script, env, load_date, session_date and batch_id. A request that
+    names no run, or a script of no layer, has nothing to wait for.
+    """
+    asked = run_context(requests).withColumns(
+        {"batch_id": F.col("run_batch"), "layer": script_layer(F.col("script"))}
+    )
+    return (
+        gate(asked, items, skip_check)
+        .withColumn("reason", F.when(F.col("has_run"), F.col("reason")))
+        .withColumn("allowed", F.col("reason").isNull())
+    )
+
+
 def runs_before(items: DataFrame, env_key: str, business_date: str) -> DataFrame:
     """Runs of an environment before a business date; both are plain filters, and prune
     where the items are partitioned by business_date."""

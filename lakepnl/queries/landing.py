@@ -45,7 +45,8 @@ from lakepnl.sources.raw import (
     with_landing_fields,
 )
 
-DAY = "1998-06-01"
+# A load date and a session date at once.
+DAY = "1998-01-01"
 CONFIG = {
     "dataset_order": ["trade_event", "price_history"],
     "raw_subprefix": "validated",

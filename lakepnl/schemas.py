@@ -384,8 +384,8 @@ class Load:
 
 
 LOADS: tuple[Load, ...] = (
-    Load("copy_s3_to_silver/trade_event_parquet_s3_to_silver_fact.sql", "trade_event"),
-    Load("copy_s3_to_silver/price_history_parquet_s3_to_silver_fact.sql", "price_history"),
+    Load("copy_s3_to_silver/fact_trade_event.sql", "trade_event"),
+    Load("copy_s3_to_silver/fact_price_history.sql", "price_history"),
 )
 
 
@@ -393,8 +393,8 @@ LOADS: tuple[Load, ...] = (
 LAYER_SCRIPTS: dict[str, tuple[str, ...]] = {
     "redshift_silver": tuple(load.script for load in LOADS),
     "gold": (
-        "silver_to_gold/silver_facts_to_gold_silver_pnl_daily.sql",
-        "silver_to_gold/gold_silver_pnl_daily_to_gold_report_pnl.sql",
+        "silver_to_gold/pnl_daily.sql",
+        "silver_to_gold/report_pnl.sql",
     ),
 }
 

@@ -123,3 +123,26 @@ def test_gate_without_check_allows_all(spark, sf):
     )
     assert [r["allowed"] for r in rs.gate(requests, items).orderBy("layer", "business_date").collect()] == [False, False, True]
     assert all(r["allowed"] for r in rs.gate(requests, items, skip_check=True).collect())
+
+
+def test_script_gate(spark):
+    items = spark.sql(
+        """SELECT 'PIPE#reporting#dev#BDATE#2024-01-01' AS pk, 'RUN#default' AS sk,
+             map('lake_standardized_to_silver', named_struct('status', 'succeeded'),
+                 'redshift', named_struct('status', 'FAILED')) AS layers"""
+    )
+    rows = [
+        ("copy_s3_to_silver/a.sql", "2024-01-01", "", " "),
+        ("silver_to_gold/a.sql", "", "2024-01-01", None),
+        ("silver_to_gold/a.sql", "2024-01-01", "", "other"),
+        ("silver_to_gold/a.sql", "", "", "b"),
+        ("ddl/a.sql", "2024-01-01", "", "b"),
+    ]
+    requests = spark.createDataFrame(
+        [("dev", i, *r) for i, r in enumerate(rows)],
+        "env string, id int, script string, load_date string, session_date string, batch_id string",
+    )
+    judged = rs.gate_scripts(requests, items).orderBy("id").collect()
+    assert [r["allowed"] for r in judged] == [True, False, False, True, True]
+    assert judged[1]["reason"] == "redshift_silver is not SUCCEEDED but ''"
+    assert all(r["allowed"] for r in rs.gate_scripts(requests, items, "Yes").collect())
