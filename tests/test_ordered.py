@@ -33,3 +33,9 @@ def test_position(rows, width):
     assert sorted(map(tuple, got.select(columns).collect())) == sorted(
         map(tuple, plain.select(columns).collect())
     )
+
+
+def test_ranges_of_very_large_numbers(spark):
+    rows = spark.range(10).select(F.lit("k").alias("key"), (F.col("id") + (1 << 60)).alias("seq"))
+    got = position_in_order(rows, ["key"], "seq", "at", 3).orderBy("seq").collect()
+    assert [r["at"] for r in got] == list(range(10))
