@@ -1,10 +1,71 @@
-"""From raw documents to packed sequences: each stage is a table, written and read again."""
+"""From raw documents to packed sequences: each stage is a table, written and read again.
+
+Every stage gets all that the stage before kept, decides on it with one operator, and all but
+the last return the columns of documents. Null texts go with the first stage. Documents without an
+id cannot be told apart and pass near-duplicate removal. Empty tables stay empty.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lakepnl.llm import decontaminate, line_spread, packing, quality, simhash
+from lakepnl.llm.queries import tokenizer_path
+from lakepnl.llm.text import read_table, saved
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base limits and are no outliers of their language and source."""
+    return quality.judge(docs).where("kept").select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that many sites share."""
+    clean = line_spread.without_boilerplate(docs)
+    length = F.char_length("text").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None
+    clean = clean if length is None else clean.withColumn("n_chars", length)
+    return clean.select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of each group of near-duplicates."""
+    found = simhash.near_duplicates(docs, shingle=3, max_distance=2)
+    first = found.where("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+
 
-STAGES: list = []
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a notable share of benchmark text."""
+    found = decontaminate.overlaps(docs, read_table(spark, sf_dir, "benchmark"))
+    return found.where(~decontaminate.contaminated()).select(*docs.columns)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents with their places in sequences of at most 1024 tokens."""
+    return packing.pack_documents(docs, tokenizer_path())
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("best_fit_packing", best_fit_packing),
+]
+
+#: Robust estimates and token ids have no SQL; tests/llm checks the stages against brute force.
 ORACLE_SQL = None
-QUERIES: dict = {}
-ORACLES: dict = {}
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of a folder."""
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = saved(stage(spark, docs, sf_dir), name)
+    return docs
+
+
+QUERIES = {"pipeline": run}
+ORACLES: dict[str, str] = {}

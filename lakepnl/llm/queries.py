@@ -5,10 +5,21 @@ from __future__ import annotations
 import os
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakepnl.llm import decontaminate, packing, simhash, url_filter
+from lakepnl.llm import (
+    decontaminate,
+    line_spread,
+    packing,
+    pitman_yor,
+    quality,
+    sanitise,
+    simhash,
+    templates,
+    token_tree,
+    url_filter,
+)
 from lakepnl.llm.text import read_table
 from lakepnl.llm.url_filter import Rule
 
@@ -47,6 +58,11 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = templates.extract(read_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", "n_chars")
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.overlaps(docs, read_table(spark, sf_dir, "benchmark"), keep=["doc_id"])
@@ -61,6 +77,28 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_spread.without_boilerplate(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return found.select("doc_id", "n_lines", "n_removed", "copied", "text")
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.judge(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return found.select("doc_id", *counts, "base_failed", "kept")
+
+
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score_held_out(read_table(spark, sf_dir, "documents"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    trees = token_tree.build(docs, tokenizer_path()).withColumn("edits", token_tree.sample_edits())
+    edited = token_tree.apply_edits(trees, tokenizer_path())
+    return edited.select("doc_id", "n_before", "n_tokens", "n_units", "n_encoded")
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, max_distance=2)
     return found.select(
@@ -68,11 +106,31 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_pii_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sanitise.find_spans(read_table(spark, sf_dir, "documents"))
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[number(kind) for kind in sanitise.KINDS],
+        F.sha2(sanitise.listed("base_spans"), 256).alias("base_sha256"),
+        sanitise.listed("spans").alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_html_extraction": op3_html_extraction,
     "op4_decontamination": op4_decontamination,
+    "op5_line_dedup": op5_line_dedup,
+    "op6_quality_rules": op6_quality_rules,
+    "op7_lm_scoring": op7_lm_scoring,
+    "op8_token_counts": op8_token_counts,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_pii_sanitisation": op10_pii_sanitisation,
 }
 
 
@@ -143,4 +201,26 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
-ORACLES = {"op1_url_filter": OP1_SQL, "op4_decontamination": OP4_SQL}
+OP5_SQL = rf"""
+WITH l AS (
+  SELECT doc_id, coalesce(source, '') AS site, unnest(string_split(coalesce(text, ''), chr(10))) AS raw,
+         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS p FROM documents
+), t AS (
+  SELECT *, regexp_replace(raw, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS line,
+         len(regexp_extract_all(raw, '[^\x20\x09-\x0D]+')) AS words FROM l
+), b AS (
+  SELECT line FROM t WHERE line <> '' GROUP BY line HAVING count(DISTINCT site) >= {line_spread.MIN_SITES}
+), m AS (
+  SELECT t.*, b.line IS NOT NULL AS hit FROM t LEFT JOIN b USING (line)
+), s AS (
+  SELECT doc_id, count(*) FILTER (line <> '') AS n_lines, count(*) FILTER (hit) AS n_hit,
+         100 * sum(CASE WHEN hit THEN words ELSE 0 END) > {line_spread.COPIED_SHARE} * sum(words) AS copied,
+         string_agg(raw, chr(10) ORDER BY p) AS whole, string_agg(raw, chr(10) ORDER BY p) FILTER (NOT hit) AS rest
+  FROM m GROUP BY doc_id
+)
+SELECT s.doc_id, n_lines::BIGINT AS n_lines, (CASE WHEN copied THEN 0 ELSE n_hit END)::BIGINT AS n_removed, copied,
+       CASE WHEN copied OR n_hit = 0 THEN d.text ELSE coalesce(rest, '') END AS text
+FROM s JOIN documents d USING (doc_id)
+"""
+
+ORACLES = {"op1_url_filter": OP1_SQL, "op4_decontamination": OP4_SQL, "op5_line_dedup": OP5_SQL}

@@ -99,7 +99,10 @@ class Encoder:
 
     def counts(self, found: Words) -> np.ndarray:
         """Number of tokens of each unit."""
-        return self.size[self._slots(found)] if len(found.start) else np.zeros(0, np.int64)
+        if not len(found.start):
+            return np.zeros(0, np.int64)
+        slots = self._slots(found)
+        return self.size[slots]
 
     def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents in a row, and where those of each document begin."""
