@@ -3,7 +3,8 @@
 A document becomes its token ids and one end id. Documents above the capacity are cut into
 pieces of that length, the first piece taking the rest. A bin is filled greedily with the
 longest piece that fits; then its smallest piece is taken out if two unpacked pieces fill
-the gap left by it more tightly, again and again until none do.
+the gap left by it more tightly, again and again until none do. Small pieces are kept back for
+the gaps that remain.
 
 Equal lengths are interchangeable, so the plan is made on the number of pieces of each
 length: at most `capacity` counts, whatever the size of the corpus. One filled bin is used
@@ -32,6 +33,8 @@ from lakepnl.llm.tokens import encoder
 CAPACITY = 1024
 END = 2
 ROWS_PER_SALT = 5_000
+#: Shares of the capacity up to which pieces may count as small.
+SMALL = (0.0, 1 / 6, 1 / 4, 1 / 3, 1 / 2)
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END) -> DataFrame:
@@ -62,7 +65,20 @@ _PIECE = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
 
 
 def filled_bins(counts: dict[int, int], capacity: int) -> list[tuple[list[int], int]]:
-    """Bins as (lengths, how often) that use up the given number of pieces of each length."""
+    """Bins as (lengths, how often) that use up the given number of pieces of each length.
+
+    Small pieces wait until the others are packed and then go to the tightest gap. Which
+    pieces are small is tried out; the plan with the fewest bins is taken.
+    """
+    plans = []
+    for share in SMALL:
+        small = {k: n for k, n in counts.items() if k <= capacity * share}
+        bins = _two_fit({k: n for k, n in counts.items() if k not in small}, capacity)
+        plans.append(_fill_gaps(bins, small, capacity))
+    return min(plans, key=lambda bins: sum(times for _, times in bins))
+
+
+def _two_fit(counts: dict[int, int], capacity: int) -> list[tuple[list[int], int]]:
     left = np.zeros(capacity + 1, np.int64)
     for length, n in counts.items():
         left[length] = n
@@ -93,6 +109,29 @@ def filled_bins(counts: dict[int, int], capacity: int) -> list[tuple[list[int],
     return bins
 
 
+def _fill_gaps(bins: list[tuple[list[int], int]], small: dict[int, int], capacity: int) -> list[tuple[list[int], int]]:
+    """Puts the small pieces, longest first, into the smallest gaps that hold them, then into new bins."""
+    by_gap: dict[int, list[tuple[list[int], int]]] = {}
+    for own, times in bins:
+        by_gap.setdefault(capacity - sum(own), []).append((own, times))
+    for length in sorted(small, reverse=True):
+        n = small[length]
+        while n:
+            gap = min((g for g, held in by_gap.items() if g >= length and held), default=None)
+            if gap is None:
+                each = min(n, capacity // length)
+                by_gap.setdefault(capacity - each * length, []).append(([length] * each, n // each))
+                n %= each
+                continue
+            own, times = by_gap[gap].pop()
+            used = min(n, times)
+            if used < times:
+                by_gap[gap].append((own, times - used))
+            by_gap.setdefault(gap - length, []).append(([*own, length], used))
+            n -= used
+    return [held for group in by_gap.values() for held in group]
+
+
 def _tighter_pair(free: np.ndarray, lengths: np.ndarray, room: int, smallest: int) -> list[int] | None:
     """Two free lengths with the largest sum that fits in room and is above the smallest, if any."""
     largest = np.maximum.accumulate(np.where(free > 0, lengths, 0))
