@@ -35,20 +35,13 @@ def _amount(c: Column) -> Column:
     return c.try_cast("decimal(20,2)")
 
 
-def flatten_payload(df: DataFrame) -> DataFrame:
-    """Lift the fields of a `payload` struct to columns, unless the event id is already one."""
-    if "payload" in df.columns and "external_event_id" not in df.columns:
-        return df.select("payload.*")
-    return df
-
-
 def with_payload(schema: T.StructType) -> T.StructType:
     """Schema of records that have their fields at the root or in a `payload` object."""
     return T.StructType([*schema.fields, T.StructField("payload", schema)])
 
 
 def lift_payload(df: DataFrame) -> DataFrame:
-    """`flatten_payload` row by row, for files read with a fixed schema.
+    """Fields of the payload object become those of the record, row by row.
 
     A fixed schema saves the pass over all files that inferring one would take. Records
     of both forms may be mixed: the payload counts where the root has no event id.
@@ -132,13 +125,3 @@ def silver_price_history(standardized: DataFrame) -> DataFrame:
         SILVER_PRICE_HISTORY,
         {"source_system": F.lit(SOURCE_SYSTEM), "etl_loaded_at": F.current_timestamp()},
     )
-
-
-STANDARDIZE = {
-    "trade_event": standardize_trade_event,
-    "price_history": standardize_price_history,
-}
-TO_SILVER = {
-    "trade_event": silver_trade_event,
-    "price_history": silver_price_history,
-}

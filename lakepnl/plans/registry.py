@@ -1,4 +1,4 @@
-"""Input checks before a job or a load, and the loop over configured datasets."""
+"""Input checks before a job or a load."""
 
 from __future__ import annotations
 
@@ -8,44 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakepnl.operators.contracts import check_json_sample, csv_header_error
-from lakepnl.schemas import (
-    DATASETS,
-    JOB_INPUTS,
-    LOADS,
-    CsvContract,
-    DatasetSpec,
-    JsonContract,
-    Table,
-)
+from lakepnl.schemas import JOB_INPUTS, LOADS, CsvContract, JsonContract, Table
 from lakepnl.sources.layers import scan_layer
 from lakepnl.sources.raw import csv_cells, first_file, has_files
 
 
-def dataset_order(config: dict) -> list[DatasetSpec]:
-    """Datasets of a pipeline configuration, in its order.
-
-    `dataset_order` (formerly `table_order`) and the keys of `raw_formats` must agree.
-    """
-    order = config.get("dataset_order") or config.get("table_order")
-    formats = config.get("raw_formats")
-    if not isinstance(order, list) or not order:
-        raise ValueError("dataset_order must be a list that is not empty")
-    if not isinstance(formats, dict) or set(formats) != set(order):
-        raise ValueError("raw_formats must have exactly the keys of dataset_order")
-    subprefix = config.get("raw_subprefix", "validated")
-    if not isinstance(subprefix, str) or not subprefix.strip():
-        raise ValueError("raw_subprefix must be text that is not empty")
-    known = {d.name: d for d in DATASETS}
-    specs = []
-    for name in order:
-        kind = formats[name].get("format")
-        if kind not in ("json", "csv"):
-            raise ValueError(f"dataset {name}: format must be json or csv, not {kind!r}")
-        flatten = bool(formats[name].get("flatten_payload"))
-        specs.append(DatasetSpec(name, kind, known[name].contract, flatten))
-    return specs
-
-
 def _result(df: DataFrame, job: str, dataset: str) -> DataFrame:
     error = F.min("error")
     return df.agg(error.isNull().alias("ok"), F.coalesce(error, F.lit("")).alias("reason")).select(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakepnl import fixtures as fx
 from lakepnl.functions import casts
-from lakepnl.plans.lake import flatten_payload, trade_amounts
+from lakepnl.plans.lake import lift_payload, trade_amounts
 from lakepnl.plans.marts import for_load_mode
 from lakepnl.queries import cte
 from lakepnl.queries.cte import sql
@@ -34,9 +34,13 @@ def silver_price_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = fx.raw_trades(spark, sf_dir)
-    nested = raw.select(F.struct(*raw.columns).alias("payload"))
-    # Flattening a frame that is flat already leaves it as it is.
-    return flatten_payload(flatten_payload(nested))
+    # Records of both forms, side by side.
+    nested = F.crc32("external_event_id") % 2 == 0
+    mixed = raw.select(
+        *[F.when(~nested, F.col(c)).alias(c) for c in raw.columns],
+        F.when(nested, F.struct(*raw.columns)).alias("payload"),
+    )
+    return lift_payload(mixed)
 
 
 def load_mode_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

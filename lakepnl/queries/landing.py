@@ -17,7 +17,8 @@ from lakepnl.operators import contracts as ct
 from lakepnl.operators.conform import violations
 from lakepnl.plans import jobs, lake, marts
 from lakepnl.plans.catalog import apply_tables, load_table, table_name
-from lakepnl.plans.registry import dataset_order, job_input_check, sample_check, silver_load_check
+from lakepnl.plans.datasets import lake_config
+from lakepnl.plans.registry import job_input_check, sample_check, silver_load_check
 from lakepnl.queries import cte
 from lakepnl.queries.contracts import RECORDS, VERDICTS, verdicts
 from lakepnl.queries.cte import sql
@@ -115,7 +116,7 @@ def scan_load_date_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _dataset_counts(spark: SparkSession, base: str) -> DataFrame:
     """One row per configured dataset; a dataset without files is skipped, not read."""
     parts = []
-    for spec in dataset_order(CONFIG):
+    for spec in lake_config(CONFIG).datasets:
         path = f"{base}/{spec.name}"
         found = has_files(spark, path)
         rows = layers.scan_layer(spark, path) if found else spark.range(0)
@@ -143,7 +144,8 @@ def _land_all(spark: SparkSession, sf_dir: str) -> str:
     routed = ct.route_to_lanes(
         fx.trade_records(spark, sf_dir), verdicts(spark, sf_dir), ["batch_id"]
     )
-    layers.write_lanes(_landed(routed, "trade_event"), path)
+    for _ in range(2):
+        layers.write_lanes(_landed(routed, "trade_event"), path)
     return path
 
 
@@ -180,10 +182,18 @@ def fact_replace_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, facts = write_silver(spark, sf_dir, "trade_event"), new_folder(spark, "fact")
     silver = f"{base}/trade_event"
     everything = layers.scan_for_load(spark, silver, "full")
-    layers.replace_load(marts.fact_trade_event(everything), facts, DAY, "full")
     one_load = layers.scan_for_load(spark, silver, "incremental", DAY)
-    layers.replace_load(marts.fact_trade_event(one_load), facts, DAY)
-    return spark.read.parquet(facts).select(
+    # Every load twice, and the full one in a session that overwrites by partition.
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        layers.replace_load(marts.fact_trade_event(one_load), facts, DAY)
+        layers.replace_load(marts.fact_trade_event(everything), facts, DAY, "full")
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    for _ in range(2):
+        layers.replace_load(marts.fact_trade_event(one_load), facts, DAY)
+    return layers.read_loaded(spark, facts).select(
         "external_event_id", "session_date", "book_id", "instrument_id", "net_amount"
     )
 
@@ -272,13 +282,12 @@ def gold_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers.write_lanes(_landed(records, "trade_event"), raw)
     prices = fx.raw_prices(spark, sf_dir)
     prices.write.option("header", True).csv(lane_path(raw, "price_history"))
-    jobs.validated_to_standardized(
-        spark, CONFIG, lambda name: lane_path(raw, name), std, documents=False
-    )
-    jobs.standardized_to_silver(spark, CONFIG, std, silver)
+    config = lake_config(CONFIG)
+    jobs.validated_to_standardized(spark, config, raw, std, documents=False)
+    jobs.standardized_to_silver(spark, config, std, silver)
     jobs.load_facts(spark, silver, f"{base}/facts", load_mode="full")
     jobs.build_gold(spark, f"{base}/facts", f"{base}/gold", DAY, load_mode="full")
-    return spark.read.parquet(f"{base}/gold/gold_report_pnl").drop(*ETL_COLUMNS)
+    return layers.read_loaded(spark, f"{base}/gold/gold_report_pnl").drop(*ETL_COLUMNS)
 
 
 def sample_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -370,8 +379,7 @@ _TABLE_ROWS = {
     "gold.silver_pnl_daily": "pnl",
     "gold.gold_report_pnl": "pnl",
 }
-_MART_BASE = [*_SILVER_ALL, cte.JOINED]
-
+_MART_BASE = _SILVER_ALL
 
 
 def _inputs(checks: list[tuple[str, str, str]]) -> str:
@@ -420,12 +428,7 @@ UNION ALL SELECT {_FACT} FROM silver_trades WHERE load_date = DATE '{DAY}'""",
         [
             *_MART_BASE,
             cte.pnl_cte(DAY),
-            cte.JOINED.replace("joined AS", "joined_closing AS").replace(
-                "ON e.session_date", "ON p.is_closing_price AND e.session_date"
-            ),
-            cte.pnl_cte(DAY, f"session_date = DATE '{DAY}'")
-            .replace("pnl AS", "closing AS", 1)
-            .replace("FROM joined", "FROM joined_closing"),
+            cte.pnl_cte(DAY, f"session_date = DATE '{DAY}'", "closing", "is_closing_price"),
         ],
         f"""SELECT {_MART} FROM pnl WHERE session_date <> DATE '{DAY}' UNION ALL SELECT {_MART} FROM closing""",
     ),

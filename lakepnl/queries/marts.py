@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakepnl import fixtures as fx
 from lakepnl.plans import marts
-from lakepnl.plans.scripts import REPORT_SCRIPT, run_script
+from lakepnl.plans.scripts import report_script, run_script
 from lakepnl.queries import cte
 from lakepnl.queries.cte import sql
 from lakepnl.schemas import ETL_COLUMNS
@@ -35,7 +35,7 @@ def param_sql_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
         fx.trade_facts(spark, sf_dir), fx.price_facts(spark, sf_dir), SESSION
     )
     return run_script(
-        spark, REPORT_SCRIPT, {"session_date": SESSION}, daily=incremental
+        spark, report_script(), {"session_date": SESSION}, daily=incremental
     ).drop(*ETL_COLUMNS)
 
 
@@ -85,7 +85,7 @@ QUERIES = {
     **{name: _measures(*columns) for name, columns in MEASURES.items()},
 }
 
-_ALL = [*cte.TRADES, *cte.PRICES, cte.JOINED]
+_ALL = [*cte.TRADES, *cte.PRICES]
 REPORT = """SELECT session_date, book_id, instrument_id, custody_country, currency_code, market_price_close,
   nominal_close, market_value_close, total_pnl_daily AS pnl_daily, pnl_mtd, pnl_ytd, pnl_itd,
   'position' AS row_type FROM pnl"""

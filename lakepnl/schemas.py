@@ -323,19 +323,9 @@ RAW_TRADE_EVENT = T.StructType(
 )
 
 
-@dataclass(frozen=True)
-class DatasetSpec:
-    """One dataset of the lake: how its raw files look and which contract they obey."""
-
-    name: str
-    format: str
-    contract: JsonContract | CsvContract
-    flatten_payload: bool = False
-
-
-DATASETS: tuple[DatasetSpec, ...] = (
-    DatasetSpec("trade_event", "json", TRADE_EVENT_CONTRACT, flatten_payload=True),
-    DatasetSpec("price_history", "csv", PRICE_HISTORY_CONTRACT),
+# Files may hold prices as texts or as JSON values; both are read as texts.
+RAW_PRICE_HISTORY = T.StructType(
+    [T.StructField(name, T.StringType()) for name in PRICE_HISTORY_CONTRACT.columns]
 )
 
 SOURCE_SYSTEM = "finanzas_api"
