@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakepnl.functions.run_keys import PROJECT, env_key, partition_key, sort_key
-from lakepnl.operators.ordered import RANGE_WIDTH, previous_in_order
+from lakepnl.operators.ordered import previous_in_order
 from lakepnl.plans.lake import (
     silver_price_history,
     silver_trade_event,
@@ -364,7 +364,7 @@ def run_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers.unionByName(tables, allowMissingColumns=True)
 
 
-def change_feed(spark: SparkSession, sf_dir: str, width: int = RANGE_WIDTH) -> DataFrame:
+def change_feed(spark: SparkSession, sf_dir: str, width: int | None = None) -> DataFrame:
     """Old and new image of each event's layer, with malformed and foreign records.
 
     Statuses come in mixed case; some images have no date, no run or no layers, and

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 PROJECT = "reporting"
+HASH_DIGITS = 16
 
 
 def env_key(project: Column, env: Column) -> Column:
@@ -16,6 +17,14 @@ def partition_key(project: Column, env: Column, business_date: Column) -> Column
     return F.concat(env_key(project, env), F.lit("#BDATE#"), business_date)
 
 
+def project_of(pk: Column) -> Column:
+    return F.regexp_extract(F.coalesce(pk, F.lit("")), "^PIPE#([^#]*)#", 1)
+
+
+def env_of(pk: Column) -> Column:
+    return F.regexp_extract(F.coalesce(pk, F.lit("")), "^PIPE#[^#]*#([^#]*)", 1)
+
+
 def sort_key(batch_id: Column) -> Column:
     return F.concat(F.lit("RUN#"), batch_id)
 
@@ -39,13 +48,19 @@ def execution_name(prefix: Column, business_date: Column, batch_id: Column, salt
     """prefix-date-batch-hash, only letters, digits, - and _, at most 80 characters.
 
     The hash is taken from the salt, so that the same request always gets the same name.
+    A long name loses the end of its readable part and never a digit of the hash.
     """
-    name = F.concat_ws("-", prefix, business_date, batch_id, F.substring(F.sha2(salt, 256), 1, 8))
-    return F.substring(F.regexp_replace(name, "[^0-9A-Za-z_-]", "-"), 1, 80)
+    name = F.concat_ws("-", prefix, business_date, batch_id)
+    readable = F.substring(F.regexp_replace(name, "[^0-9A-Za-z_-]", "-"), 1, 79 - HASH_DIGITS)
+    return F.concat_ws("-", readable, F.substring(F.sha2(salt, 256), 1, HASH_DIGITS))
 
 
 def archive_key(pk: Column, sk: Column) -> Column:
-    return F.substring(F.regexp_replace(F.concat(pk, F.lit("__"), sk), "[/#]", "_"), 1, 512)
+    """Name of an archived item: a key over 512 characters is cut and ends with its hash."""
+    whole = F.concat(pk, F.lit("__"), sk)
+    name = F.regexp_replace(whole, "[/#]", "_")
+    cut = F.concat(F.substring(name, 1, 511 - HASH_DIGITS), F.lit("-"), F.substring(F.sha2(whole, 256), 1, HASH_DIGITS))
+    return F.when(F.char_length(name) > 512, cut).otherwise(name)
 
 
 def script_layer(script: Column) -> Column:

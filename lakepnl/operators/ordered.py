@@ -1,16 +1,18 @@
 """Row order within a key, without ever sorting a whole key in one task.
 
-The order column is cut into ranges of fixed width. Rows are sorted per key and
+The order column is cut into ranges of equal width, which follows from the number of rows. Rows are sorted per key and
 range; only one row per range, its count or its last value, is sorted per key.
 A key that holds a third of all rows is spread over as many tasks as it has ranges.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGE_WIDTH = 1_000_000
+ROWS_PER_RANGE = 1_000_000
 
 
 def _range(order: str, width: int) -> Column:
@@ -18,10 +20,27 @@ def _range(order: str, width: int) -> Column:
     return F.col(order) - F.pmod(F.col(order), F.lit(width))
 
 
+def range_width(df: DataFrame, order: str, rows: int = ROWS_PER_RANGE) -> int:
+    """Width at which a range holds about `rows` rows, however sparse the order column is."""
+    span = df.agg(F.min(order).alias("low"), F.max(order).alias("high"), F.count(order).alias("n")).first()
+    if not span["n"]:
+        return 1
+    return max(1, (int(span["high"]) - int(span["low"]) + 1) * rows // span["n"])
+
+
+def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
+    """Equal keys, NULL being equal to NULL."""
+    return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in names])
+
+
 def previous_in_order(
-    df: DataFrame, keys: list[str], order: str, value: str, out: str, width: int = RANGE_WIDTH
+    df: DataFrame, keys: list[str], order: str, value: str, out: str, width: int | None = None
 ) -> DataFrame:
-    """Adds the value of the row before, per key; `order` is unique within a key."""
+    """Adds the value of the row before, per key; `order` is unique within a key.
+
+    Without a width of the ranges it is taken from the number of rows, in a pass of its own.
+    """
+    width = width or range_width(df, order)
     rows = df.withColumns({"_range": _range(order, width), "_carried": F.lit(False)})
     last = rows.groupBy(*keys, "_range").agg(
         F.max(order).alias(order), F.max_by(value, order).alias(value)
@@ -47,7 +66,7 @@ def position_in_order(
     keys: list[str],
     order: str,
     out: str,
-    width: int = RANGE_WIDTH,
+    width: int | None = None,
     group: Column | None = None,
 ) -> DataFrame:
     """Adds the 0-based position of each row within its key.
@@ -55,7 +74,9 @@ def position_in_order(
     `group` replaces the ranges of the order column by a grouping of one's own, whose
     values must rise along the order.
     """
-    rows = df.withColumn("_range", _range(order, width) if group is None else group)
+    if group is None:
+        group = _range(order, width or range_width(df, order))
+    rows = df.withColumn("_range", group)
     before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -66,9 +87,8 @@ def position_in_order(
         .drop("_rows")
     )
     within = Window.partitionBy(*keys, "_range").orderBy(order)
+    numbered = rows.withColumn("_at", F.row_number().over(within) - 1)
     return (
-        rows.withColumn("_at", F.row_number().over(within) - 1)
-        .join(offsets, [*keys, "_range"])
-        .withColumn(out, F.col("_at") + F.col("_offset"))
-        .drop("_at", "_offset", "_range")
+        numbered.join(offsets, _same(numbered, offsets, [*keys, "_range"]))
+        .select(*[numbered[c] for c in df.columns], (F.col("_at") + F.col("_offset")).alias(out))
     )

@@ -6,19 +6,23 @@ layer, status and error; kind `table` carries table_name, lane, status and s3_ke
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakepnl.functions.casts import truthy
 from lakepnl.functions.run_keys import (
     PROJECT,
+    archive_key,
     job_layer,
     partition_key,
     script_layer,
     sort_key,
 )
-from lakepnl.operators.ordered import RANGE_WIDTH, position_in_order
+from lakepnl.operators.ordered import position_in_order
 from lakepnl.schemas import EXPECTED_RAW_TABLES, LAYERS, LEGACY_LAYER_KEYS, PREVIOUS_LAYER
+from lakepnl.session import new_folder
+from lakepnl.sources.layers import drop_folder, write_archive
+from lakepnl.sources.raw import has_files
 
 LAYER_KEYS = (*LAYERS, *LEGACY_LAYER_KEYS.values())
 ERROR_LENGTH = 2000
@@ -29,23 +33,32 @@ def _latest(value: Column, hit: Column) -> Column:
     return F.max_by(value, F.when(hit, F.col("seq")))
 
 
-def _map_of(names: tuple[str, ...], prefix: str) -> Column:
-    entries = F.map_from_arrays(
-        F.array(*[F.lit(n) for n in names]), F.array(*[F.col(f"{prefix}{n}") for n in names])
+def last_updates(updates: DataFrame) -> DataFrame:
+    """The last update of each layer and each table of a run, whatever their names.
+
+    Names and sequences go through a hash aggregate; the long columns of an update, such as
+    its error, are only fetched for the winners. An update that was delivered twice counts once.
+    """
+    names = ["pk", "sk", "kind", "name"]
+    named = updates.withColumn(
+        "name", F.when(F.col("kind") == "layer", F.col("layer")).otherwise(F.col("table_name"))
     )
-    return F.map_filter(entries, lambda _, doc: doc.isNotNull())
+    last = named.groupBy(*names).agg(F.max("seq").alias("seq"))
+    same = [named[c].eqNullSafe(last[c]) for c in [*names, "seq"]]
+    return named.join(last, same, "left_semi").dropDuplicates([*names, "seq"])
 
 
-def fold(updates: DataFrame, tables: tuple[str, ...] = EXPECTED_RAW_TABLES) -> DataFrame:
+def fold(updates: DataFrame) -> DataFrame:
     """One item per run: the last write of each layer and of each table wins.
 
-    Layer and table names are known, so each is one aggregate of a single pass; no run
-    is ever collected, however many updates it has.
+    A run's maps have one entry for each of its layers and tables, known or not. `error` is
+    cut to the length of the run table's column; `full_error` is the whole text.
     """
     layer_doc = F.struct(
         F.col("status").alias("status"),
         F.col("t").alias("updated_at"),
         F.substring("error", 1, ERROR_LENGTH).alias("error"),
+        F.col("error").alias("full_error"),
     )
     table_doc = F.struct(
         F.col("lane").alias("lane"),
@@ -53,30 +66,21 @@ def fold(updates: DataFrame, tables: tuple[str, ...] = EXPECTED_RAW_TABLES) -> D
         F.col("s3_key").alias("s3_key"),
         F.col("t").alias("updated_at"),
     )
-    is_layer, is_table = F.col("kind") == "layer", F.col("kind") == "table"
+
+    def entries(kind: str, doc: Column) -> Column:
+        pairs = F.collect_list(F.when(F.col("kind") == kind, F.struct("name", doc.alias("doc"))))
+        return F.map_from_entries(F.filter(pairs, lambda p: p["name"].isNotNull()))
+
+    # Keys of a run are in its every update, so they need no pass over long rows.
     return (
-        updates.groupBy("pk", "sk")
+        last_updates(updates)
+        .groupBy("pk", "sk")
         .agg(
             F.max("env_key").alias("env_key"),
             F.max("business_date").alias("business_date"),
             F.max_by("t", "seq").alias("updated_at"),
-            *[
-                _latest(layer_doc, is_layer & (F.col("layer") == n)).alias(f"_l_{n}")
-                for n in LAYER_KEYS
-            ],
-            *[
-                _latest(table_doc, is_table & (F.col("table_name") == n)).alias(f"_t_{n}")
-                for n in tables
-            ],
-        )
-        .select(
-            "pk",
-            "sk",
-            "env_key",
-            "business_date",
-            "updated_at",
-            _map_of(LAYER_KEYS, "_l_").alias("layers"),
-            _map_of(tables, "_t_").alias("tables"),
+            entries("layer", layer_doc).alias("layers"),
+            entries("table", table_doc).alias("tables"),
         )
     )
 
@@ -94,6 +98,21 @@ def raw_layer_status(
     )
 
 
+def with_raw_layer(items: DataFrame, expected: tuple[str, ...] = EXPECTED_RAW_TABLES) -> DataFrame:
+    """Items whose layer `raw` is what their tables say, so that the next gate sees it."""
+    judged = raw_layer_status(items, expected)
+    # The run's own entry, if there is one, only gives way in status and time.
+    doc = F.struct(
+        F.col("raw_status").alias("status"),
+        F.col("updated_at").alias("updated_at"),
+        F.lit(None).cast("string").alias("error"),
+        F.lit(None).cast("string").alias("full_error"),
+    )
+    others = F.map_filter("layers", lambda name, _: name != "raw")
+    layers = F.map_concat(others, F.create_map(F.lit("raw"), doc))
+    return judged.withColumn("layers", layers).select(*items.columns)
+
+
 def script_layers(results: DataFrame, scripts: dict[str, tuple[str, ...]]) -> DataFrame:
     """Status of each warehouse layer of a run, from the results of its scripts.
 
@@ -118,7 +137,7 @@ def script_layers(results: DataFrame, scripts: dict[str, tuple[str, ...]]) -> Da
     return last.select("pk", "sk", *[c.alias(f"{n}_status") for n, c in columns.items()])
 
 
-def execution_log(updates: DataFrame, width: int = RANGE_WIDTH) -> DataFrame:
+def execution_log(updates: DataFrame, width: int | None = None) -> DataFrame:
     """The log of each run as rows with their position: appended in sequence order.
 
     A run of any length stays distributed; see `position_in_order`.
@@ -198,14 +217,16 @@ def job_status(
     """State changes of lake jobs as layer updates.
 
     Events carry job_name, run_id, state, business_date, batch_id and message. The
-    business date defaults to `as_of`, the batch to glue- and the head of the run id.
+    business date defaults to `as_of`, the batch to glue- and the run id; `batch_label` is
+    that batch with the head of the run id only.
     `skipped` says why an event counts for nothing; `recorded` is off for a success
     that the job has recorded itself.
     """
     layer = job_layer(F.col("job_name"))
     status = F.when(F.upper(_text("state")) == "SUCCEEDED", "SUCCEEDED").otherwise("FAILED")
     day = _or(F.col("business_date"), F.lit(as_of))
-    batch = _or(F.col("batch_id"), F.concat(F.lit("glue-"), F.substring("run_id", 1, 12)))
+    batch = _or(F.col("batch_id"), F.concat(F.lit("glue-"), F.col("run_id")))
+    label = _or(F.col("batch_id"), F.concat(F.lit("glue-"), F.substring("run_id", 1, 12)))
     return (
         events.withColumns(
             {
@@ -217,6 +238,7 @@ def job_status(
                 "pk": partition_key(F.lit(PROJECT), F.lit(env), day),
                 "sk": sort_key(batch),
                 "error": F.col("message"),
+                "batch_label": label,
             }
         )
         .withColumn(
@@ -227,7 +249,7 @@ def job_status(
         .withColumns(
             {
                 c: F.when(F.col("skipped").isNull(), F.col(c))
-                for c in ("layer", "status", "pk", "sk")
+                for c in ("layer", "status", "pk", "sk", "batch_label")
             }
         )
     )
@@ -297,25 +319,35 @@ def is_expired(env_key: str, as_of: str, retention_days: int = 30) -> Column:
     return F.coalesce((F.col("env_key") == env_key) & old, F.lit(False))
 
 
-def archive_summary(outcomes: DataFrame, sample: int = 20) -> DataFrame:
-    """Counters of an archive run, with the first errors by key as a sample.
+def archive_errors(outcomes: DataFrame) -> DataFrame:
+    """Every error of an archive run: pk, sk and its text."""
+    return outcomes.where("error is not null").select(
+        "pk", "sk", F.concat_ws(":", F.lit("s3_put"), "pk", "sk", "error").alias("text")
+    )
+
+
+def archive_summary(
+    outcomes: DataFrame, as_of: str, retention_days: int = 30, sample: int = 20
+) -> DataFrame:
+    """Counters of an archive run and its limits, with the first errors by key for display.
 
-    `outcomes` has pk, sk and error, which is NULL for an archived item. The sample is
-    a top-n of the errors, so only that many texts are ever brought together.
+    `outcomes` has pk, sk, error, which is NULL for an archived item, and deleted. All errors
+    are rows of `archive_errors`; the sample is a top-n, so few texts are brought together.
     """
     totals = outcomes.agg(
         F.count(F.lit(1)).alias("processed"),
         F.count_if(F.col("error").isNull()).alias("archived"),
+        F.count_if(F.coalesce("deleted", F.lit(False))).alias("deleted"),
         F.count_if(F.col("error").isNotNull()).alias("error_count"),
     )
     first = (
-        outcomes.where("error is not null")
-        .select(F.concat_ws(":", F.lit("s3_put"), "pk", "sk", "error").alias("text"))
+        archive_errors(outcomes)
+        .select("text")
         .orderBy("text")
         .limit(sample)
         .agg(F.sort_array(F.collect_list("text")).alias("errors"))
     )
-    counters = ("processed", "archived", "error_count")
+    counters = ("processed", "archived", "deleted", "error_count")
     # Two single rows put into one.
     return (
         totals.unionByName(first, allowMissingColumns=True)
@@ -323,4 +355,47 @@ def archive_summary(outcomes: DataFrame, sample: int = 20) -> DataFrame:
             *[F.max(c).alias(c) for c in counters],
             F.first("errors", ignorenulls=True).alias("errors"),
         )
+        .withColumns({"cutoff_date": cutoff_date(as_of, retention_days), "retention_days": F.lit(retention_days)})
     )
+
+
+def write_items(items: DataFrame, path: str) -> None:
+    """Stores run items by business date; a date that is written again is replaced."""
+    items.withColumn("day", F.coalesce("business_date", F.lit(""))).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("day").parquet(path)
+
+
+def upsert_items(items: DataFrame, path: str) -> None:
+    """Puts items in the place of stored ones of the same run; only their dates are rewritten."""
+    spark = items.sparkSession
+    if not has_files(spark, path):
+        write_items(items, path)
+        return
+    stored = spark.read.parquet(path)
+    days = items.select(F.coalesce("business_date", F.lit("")).alias("day")).distinct()
+    others = stored.join(days, "day", "left_semi").join(items, ["pk", "sk"], "left_anti").drop("day")
+    staging = new_folder(spark, "items")
+    others.unionByName(items).write.parquet(staging)
+    write_items(spark.read.parquet(staging), path)
+    drop_folder(spark, staging)
+
+
+def archive_items(spark: SparkSession, path: str, archive: str, env_key: str, as_of: str, retention_days: int = 30) -> None:
+    """Moves expired items of a stored run state to the archive.
+
+    The archive is written first and each item replaces itself there, so that a run that
+    stops between the two steps can be done again.
+    """
+    stored = spark.read.parquet(path)
+    expired = stored.where(is_expired(env_key, as_of, retention_days))
+    keyed = expired.drop("day").withColumn("archive_key", archive_key(F.col("pk"), F.col("sk")))
+    write_archive(keyed, archive)
+    days = [r["day"] for r in expired.select("day").distinct().collect()]
+    kept = stored.where(F.col("day").isin(days) & ~is_expired(env_key, as_of, retention_days))
+    staging = new_folder(spark, "kept")
+    kept.drop("day").write.parquet(staging)
+    for day in days:
+        drop_folder(spark, f"{path}/day={day}")
+    write_items(spark.read.schema(kept.drop("day").schema).parquet(staging), path)
+    drop_folder(spark, staging)

@@ -11,7 +11,6 @@ from lakepnl.operators import run_state as rs
 from lakepnl.operators.ordered import previous_in_order
 from lakepnl.schemas import LAYER_SCRIPTS, LAYERS
 from lakepnl.session import new_folder
-from lakepnl.sources.layers import write_archive
 from lakepnl.streaming import router
 from lakepnl.streaming import transitions as tr
 
@@ -36,11 +35,40 @@ def run_state_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[rs.layer_status(layers, F.lit(n)).alias(f"{n}_status") for n in rs.LAYER_KEYS],
         F.try_element_at(layers, F.lit("raw"))["updated_at"].alias("raw_updated_at"),
         F.length(F.try_element_at(layers, F.lit("gold"))["error"]).alias("gold_error_length"),
+        F.length(F.try_element_at(layers, F.lit("gold"))["full_error"]).alias("gold_full_error_length"),
         F.try_element_at("tables", F.lit("trade_event"))["s3_key"].alias("trade_event_key"),
         F.size("tables").alias("tables_seen"),
     )
 
 
+def run_state_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fold over layers and tables that no list knows, each update delivered twice."""
+    extra = F.col("seq") % 3 == 0
+    updates = fx.run_updates(spark, sf_dir).withColumns(
+        {
+            "layer": F.when(extra, F.concat(F.lit("new_"), "layer")).otherwise(F.col("layer")),
+            "table_name": F.when(extra, F.concat(F.lit("new_"), "table_name")).otherwise(F.col("table_name")),
+        }
+    )
+    folded = rs.fold(updates.unionByName(updates))
+
+    def entries(column: str, kind: str) -> DataFrame:
+        return folded.select("pk", "sk", F.explode(column).alias("name", "doc")).select(
+            "pk", "sk", F.lit(kind).alias("kind"), "name", "doc.status", "doc.updated_at"
+        )
+
+    return entries("layers", "layer").unionByName(entries("tables", "table"))
+
+
+def raw_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate of the first lake job, which waits for the raw tables of its run."""
+    runs = items(spark, sf_dir)
+    requests = runs.select(
+        "business_date", rk.batch_of(F.col("sk")).alias("batch_id"), rk.env_of(F.col("pk")).alias("env")
+    ).withColumn("layer", F.lit("lake_validated_to_standardized"))
+    return rs.gate(requests, rs.with_raw_layer(runs)).select("pk", "sk", "allowed", "reason")
+
+
 def raw_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rs.raw_layer_status(items(spark, sf_dir)).select(
         "pk", "sk", "raw_status", F.concat_ws(",", "awaiting_tables").alias("awaiting_tables")
@@ -76,19 +104,20 @@ def script_layer_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_archive_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Archived items as read back from the archive, and the items that stay."""
-    path = new_folder(spark, "archive")
-    expired = rs.is_expired(PROD, AS_OF)
-    every = items(spark, sf_dir).withColumn(
-        "archive_key", rk.archive_key(F.col("pk"), F.col("sk"))
-    )
-    archived = every.where(expired)
-    write_archive(archived, path)
+    """Archived items as read back from the archive, and the stored items that stay.
+
+    The items are stored, put once more in their own place, and archived twice over.
+    """
+    path, state = new_folder(spark, "archive"), new_folder(spark, "run-state")
+    every = items(spark, sf_dir)
+    for _ in range(2):
+        rs.upsert_items(every, state)
+        rs.archive_items(spark, state, path, PROD, AS_OF)
     names = ["pk", "sk", "business_date"]
     stored = (
         spark.read.schema(
             "pk string, sk string, business_date string, archive_key string, "
-            "year string, month string, day string"
+            "year string, month string, day string, item string"
         )
         .json(path)
         .select(
@@ -97,23 +126,37 @@ def run_archive_split(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat_ws("/", "year", "month", "day", "archive_key").alias("archive_key"),
         )
     )
-    kept = every.where(~expired).select(
+    kept = spark.read.parquet(state).select(
         *names, F.lit("kept").alias("outcome"), F.lit("").alias("archive_key")
     )
     return stored.unionByName(kept)
 
 
-def archive_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    outcomes = fx.run_events(spark, sf_dir).select(
+def archive_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.run_events(spark, sf_dir).select(
         "pk",
         F.concat_ws("-", "sk", "seq").alias("sk"),
         F.when(F.col("status") == "FAILED", F.concat(F.lit("failed at "), "t")).alias("error"),
+        (F.col("status") == "SUCCEEDED").alias("deleted"),
     )
-    return rs.archive_summary(outcomes).select(
-        "processed", "archived", "error_count", F.concat_ws("|", "errors").alias("errors")
+
+
+def archive_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rs.archive_summary(archive_outcomes(spark, sf_dir), AS_OF).select(
+        "processed",
+        "archived",
+        "deleted",
+        "error_count",
+        F.concat_ws("|", "errors").alias("errors"),
+        "cutoff_date",
+        "retention_days",
     )
 
 
+def archive_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rs.archive_errors(archive_outcomes(spark, sf_dir))
+
+
 def layer_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = fx.run_events(spark, sf_dir)
     n = F.col("user_id") % 13
@@ -245,7 +288,7 @@ def job_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def job_event_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rs.job_status(job_events(spark, sf_dir), AS_OF, self_reports=True).select(
-        "event_id", "skipped", "layer", "status", "pk", "sk", "recorded"
+        "event_id", "skipped", "layer", "status", "pk", "sk", "batch_label", "recorded"
     )
 
 
@@ -283,38 +326,44 @@ def _slices(df: DataFrame, path: str) -> list[DataFrame]:
 
 
 def stream_router(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The router fed slice by slice, with one slice delivered twice."""
+    """The router fed slice by slice, out of order and with one slice delivered twice."""
     feed, out = new_folder(spark, "feed"), new_folder(spark, "requests")
     checkpoint = new_folder(spark, "checkpoint")
     parts = _slices(fx.change_feed(spark, sf_dir, RANGE), new_folder(spark, "slices"))
-    for part in [*parts, parts[1]]:
+    for part in [parts[0], parts[2], parts[1], parts[3], parts[1]]:
         part.write.mode("append").parquet(feed)
         router.start_router(spark, feed, out, checkpoint).awaitTermination()
-    return spark.read.parquet(out)
+    return router.read_requests(spark, out)
 
 
 def stream_transition_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transitions from statuses alone, with the state carried between micro-batches."""
+    """Transitions from statuses alone, with the state carried between micro-batches.
+
+    The third slice comes before the second, which comes twice, so that late and repeated
+    events count for nothing; the first slice holds each of its events twice.
+    """
     events, out = new_folder(spark, "events"), new_folder(spark, "transitions")
-    state, checkpoint = new_folder(spark, "state"), new_folder(spark, "checkpoint")
+    checkpoint = new_folder(spark, "checkpoint")
     rows = fx.run_events(spark, sf_dir).select("seq", "pk", "sk", "layer", "status")
-    for part in _slices(rows, new_folder(spark, "slices")):
+    parts = _slices(rows, new_folder(spark, "slices"))
+    for part in [parts[0].unionByName(parts[0]), parts[2], parts[1], parts[1], parts[3]]:
         part.write.mode("append").parquet(events)
-        router.start_transitions(
-            spark, events, out, state, checkpoint, width=RANGE
-        ).awaitTermination()
+        router.start_transitions(spark, events, out, checkpoint).awaitTermination()
     return spark.read.parquet(out).select("pk", "sk", "layer", "seq")
 
 
 QUERIES = {
     "run_state_fold": run_state_fold,
+    "run_state_names": run_state_names,
     "raw_completeness": raw_completeness,
+    "raw_gate": raw_gate,
     "execution_log": execution_log,
     "runs_by_env_date": runs_by_env_date,
     "retention_candidates": retention_candidates,
     "script_layer_status": script_layer_status,
     "run_archive_split": run_archive_split,
     "archive_summary": archive_summary,
+    "archive_errors": archive_errors,
     "layer_gate": layer_gate,
     "legacy_layer_status": legacy_layer_status,
     "transition_lag": transition_lag,
@@ -353,7 +402,8 @@ LANE = "CASE WHEN value > 10 THEN 'validated' ELSE 'rejected' END"
 STATE = f"""
 layer_state AS (
   SELECT pk, sk, layer, max_by(status, seq) AS status, max_by(t, seq) AS updated_at,
-    nullif(max_by(CASE WHEN value <= 5 THEN 2000 ELSE 0 END, seq), 0) AS error_length
+    nullif(max_by(CASE WHEN value <= 5 THEN 2000 ELSE 0 END, seq), 0) AS error_length,
+    nullif(max_by(CASE WHEN value <= 5 THEN 2500 ELSE 0 END, seq), 0) AS full_length
   FROM run_events GROUP BY pk, sk, layer
 ),
 table_state AS (
@@ -399,7 +449,7 @@ lagged AS (
 # The records that count: removals, foreign keys and images without layers drop out.
 SUCCEEDED = """
 succeeded AS (
-  SELECT seq, pk, business_date, CAST(batch AS VARCHAR) AS batch_id, layer
+  SELECT seq, pk, business_date, CAST(batch AS VARCHAR) AS batch_id, layer, env
   FROM lagged WHERE status = 'SUCCEEDED' AND coalesce(before, '') <> 'SUCCEEDED'
     AND user_id % 29 NOT IN (3, 7, 11)
 )"""
@@ -421,11 +471,11 @@ def _sql(ctes: list[str], select: str) -> str:
 
 _REQUESTS = _sql(
     [LAGGED, SUCCEEDED, ROUTED],
-    """SELECT seq, layer, action, target, business_date, batch_id, 'reporting' AS project, 'dev' AS environment,
+    """SELECT seq, layer, action, target, business_date, batch_id, 'reporting' AS project, env AS environment,
   CASE WHEN prefix IS NOT NULL THEN business_date END AS load_date,
   CASE WHEN prefix IS NOT NULL THEN business_date END AS session_date,
   CASE WHEN prefix IS NOT NULL THEN prefix || '-' || business_date || '-' || batch_id || '-' ||
-    sha256(pk || '|' || batch_id || '|' || layer || '|' || seq)[1:8] END AS execution_name
+    sha256(pk || '|' || batch_id || '|' || layer || '|' || seq)[1:16] END AS execution_name
 FROM routed""",
 )
 
@@ -438,7 +488,7 @@ jobs AS (
     CASE WHEN status = 'SUCCEEDED' THEN 'SUCCEEDED' ELSE 'FAILED' END AS status,
     CASE WHEN user_id % 3 <> 0 THEN business_date END AS business_date,
     CASE WHEN user_id % 4 <> 0 THEN CAST(batch AS VARCHAR) END AS batch_id,
-    ('jr_0123456789' || seq)[1:12] AS head
+    'jr_0123456789' || seq AS run_id
   FROM run_events
 )"""
 
@@ -452,6 +502,7 @@ ORACLES = {
   {", ".join(f"{_status(n)} AS {n}_status" for n in rs.LAYER_KEYS)},
   (SELECT updated_at FROM layer_state s WHERE s.pk = r.pk AND s.sk = r.sk AND s.layer = 'raw') AS raw_updated_at,
   (SELECT error_length FROM layer_state s WHERE s.pk = r.pk AND s.sk = r.sk AND s.layer = 'gold') AS gold_error_length,
+  (SELECT full_length FROM layer_state s WHERE s.pk = r.pk AND s.sk = r.sk AND s.layer = 'gold') AS gold_full_error_length,
   {_table('s3_key', 'trade_event')} AS trade_event_key,
   CAST((SELECT count(*) FROM table_state s WHERE s.pk = r.pk AND s.sk = r.sk) AS INTEGER) AS tables_seen
 FROM runs r""",
@@ -507,11 +558,33 @@ FROM (SELECT *, env_key = '{PROD}' AND business_date < '2024-01-11' AS old FROM
     "archive_summary": _sql(
         [],
         """SELECT count(*) AS processed, count(*) FILTER (WHERE status <> 'FAILED') AS archived,
+  count(*) FILTER (WHERE status = 'SUCCEEDED') AS deleted, '2024-01-11' AS cutoff_date, 30 AS retention_days,
   count(*) FILTER (WHERE status = 'FAILED') AS error_count,
   (SELECT string_agg(text, '|' ORDER BY text) FROM (
     SELECT 's3_put:' || pk || ':' || sk || '-' || seq || ':failed at ' || t AS text FROM run_events
     WHERE status = 'FAILED' ORDER BY text LIMIT 20)) AS errors
 FROM run_events""",
+    ),
+    "archive_errors": _sql(
+        [],
+        """SELECT pk, sk || '-' || seq AS sk, 's3_put:' || pk || ':' || sk || '-' || seq || ':failed at ' || t AS text
+FROM run_events WHERE status = 'FAILED'""",
+    ),
+    "run_state_names": _sql(
+        [],
+        f"""SELECT pk, sk, kind, name, max_by(status, seq) AS status, max_by(t, seq) AS updated_at FROM (
+  SELECT pk, sk, 'layer' AS kind, CASE WHEN seq * 2 % 3 = 0 THEN 'new_' ELSE '' END || layer AS name, status, t, seq
+  FROM run_events
+  UNION ALL SELECT pk, sk, 'table', CASE WHEN (seq * 2 + 1) % 3 = 0 THEN 'new_' ELSE '' END ||
+    CASE WHEN user_id % 2 = 0 THEN 'price_history' ELSE 'trade_event' END, {LANE}, t, seq FROM run_events)
+GROUP BY ALL""",
+    ),
+    "raw_gate": _sql(
+        [STATE],
+        """SELECT r.pk, r.sk, coalesce(s.done, 0) = 2 AS allowed,
+  CASE WHEN coalesce(s.done, 0) < 2 THEN 'raw is not SUCCEEDED but ''PENDING''' END AS reason
+FROM runs r LEFT JOIN (SELECT pk, sk, count(*) FILTER (WHERE status = 'validated') AS done FROM table_state GROUP BY pk, sk) s
+  ON r.pk = s.pk AND r.sk = s.sk""",
     ),
     "layer_gate": _sql(
         [
@@ -543,7 +616,7 @@ judged AS (
         f"SELECT pk, sk, {', '.join(f'{_ok(n)} AS {n}_ok' for n in LAYERS)} FROM runs r",
     ),
     "transition_lag": _sql([LAGGED], _COMPARE.replace("seq FROM", "seq, before FROM")),
-    "just_succeeded": _sql([LAGGED, SUCCEEDED], "SELECT * FROM succeeded"),
+    "just_succeeded": _sql([LAGGED, SUCCEEDED], "SELECT seq, pk, business_date, batch_id, layer FROM succeeded"),
     "route_next_job": _sql(
         [LAGGED, SUCCEEDED, ROUTED], "SELECT seq, layer, action, target FROM routed"
     ),
@@ -551,8 +624,8 @@ judged AS (
     "execution_name": _sql(
         [],
         """SELECT seq AS event_id, regexp_replace('cp-' || business_date || '-' || CASE WHEN user_id % 2 = 0
-  THEN CAST(user_id AS VARCHAR) ELSE event_type || ' ' || props || ' ' || repeat(event_type, 6) END || '-' ||
-  sha256(CAST(seq AS VARCHAR))[1:8], '[^0-9A-Za-z_-]', '-', 'g')[1:80] AS execution_name FROM run_events""",
+  THEN CAST(user_id AS VARCHAR) ELSE event_type || ' ' || props || ' ' || repeat(event_type, 6) END,
+  '[^0-9A-Za-z_-]', '-', 'g')[1:63] || '-' || sha256(CAST(seq AS VARCHAR))[1:16] AS execution_name FROM run_events""",
     ),
     "run_key_parse": _sql(
         [],
@@ -570,7 +643,8 @@ FROM events""",
         f"""SELECT event_id, skipped, CASE WHEN skipped IS NULL THEN layer END AS layer,
   CASE WHEN skipped IS NULL THEN status END AS status,
   CASE WHEN skipped IS NULL THEN 'PIPE#reporting#dev#BDATE#' || coalesce(business_date, '{AS_OF}') END AS pk,
-  CASE WHEN skipped IS NULL THEN 'RUN#' || coalesce(batch_id, 'glue-' || head) END AS sk,
+  CASE WHEN skipped IS NULL THEN 'RUN#' || coalesce(batch_id, 'glue-' || run_id) END AS sk,
+  CASE WHEN skipped IS NULL THEN coalesce(batch_id, 'glue-' || run_id[1:12]) END AS batch_label,
   skipped IS NULL AND status <> 'SUCCEEDED' AS recorded
 FROM jobs""",
     ),
@@ -588,5 +662,21 @@ FROM (SELECT seq AS request_id,
   CASE WHEN user_id % 3 = 0 THEN 'b' || user_id ELSE 'default' END AS batch_id FROM run_events)""",
     ),
     "stream_router": _REQUESTS,
-    "stream_transition_state": _sql([LAGGED], _COMPARE),
+    "stream_transition_state": _sql(
+        [
+            f"""
+delivered AS (
+  SELECT *, CASE least(seq * {SLICES} // (SELECT max(seq) + 1 FROM run_events), {SLICES - 1})
+    WHEN 1 THEN 2 WHEN 2 THEN 1 WHEN 3 THEN 3 ELSE 0 END AS turn FROM run_events
+),
+counted AS (
+  SELECT * FROM delivered d WHERE NOT EXISTS (SELECT 1 FROM delivered o WHERE o.pk = d.pk AND o.sk = d.sk
+    AND o.layer = d.layer AND o.turn < d.turn AND o.seq > d.seq)
+),
+lagged AS (
+  SELECT *, lag(status) OVER (PARTITION BY pk, sk, layer ORDER BY seq) AS before FROM counted
+)""",
+        ],
+        _COMPARE,
+    ),
 }

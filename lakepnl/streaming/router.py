@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from lakepnl.operators.ordered import RANGE_WIDTH, previous_in_order
+from lakepnl.sources.raw import has_files
 from lakepnl.streaming.transitions import FEED_SCHEMA, just_succeeded, next_requests, route
 
 STATE_KEYS = ["pk", "sk", "layer"]
@@ -33,90 +37,73 @@ def start_router(
     checkpoint: str,
     every: str | None = None,
     files_per_batch: int | None = None,
-    late: str = "1 hour",
 ) -> StreamingQuery:
-    """Requests for every transition of the feed, each once.
+    """Requests for every transition of the feed, each once, however late it comes again.
 
-    A change that is delivered again within `late` is dropped: state is kept per run,
-    layer and sequence, and given up when the watermark has passed it. `every` is the
-    trigger interval; without it the stream takes what is there and ends.
+    Requests are stored by business date. A micro-batch looks up its own dates there and
+    leaves out what was requested before; done again after a failure, it replaces its own
+    rows. `every` is the trigger interval; without it the stream takes what is there and ends.
     """
-    feed = read_feed(spark, feed_path, files_per_batch=files_per_batch)
-    once = (
-        just_succeeded(feed)
-        .withColumn("seen_at", F.current_timestamp())
-        .withWatermark("seen_at", late)
-        .dropDuplicatesWithinWatermark(["pk", "batch_id", "layer", "seq"])
-    )
-    writer = (
-        next_requests(route(once))
-        .writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
+
+    def run(feed: DataFrame, batch: int) -> None:
+        keys = ["pk", "batch_id", "layer", "seq"]
+        once = just_succeeded(feed).dropDuplicates(keys)
+        fresh = next_requests(route(once)).withColumns({"day": F.col("business_date"), "micro_batch": F.lit(batch)})
+        if has_files(spark, out_path):
+            before = spark.read.parquet(out_path).where(F.col("micro_batch") != batch)
+            same = ["day", "project", "environment", "batch_id", "layer", "seq"]
+            fresh = fresh.join(before.select(*same), same, "left_anti")
+        fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "day", "micro_batch"
+        ).parquet(out_path)
+
+    writer = read_feed(spark, feed_path, files_per_batch=files_per_batch).writeStream.option(
+        "checkpointLocation", checkpoint
     )
-    return _trigger(writer, every).start(out_path)
+    return _trigger(writer.foreachBatch(run), every).start()
 
 
-def detect_in_batch(
-    events: DataFrame, state: DataFrame, width: int = RANGE_WIDTH
-) -> tuple[DataFrame, DataFrame]:
-    """Transitions among new events, and the state after them.
+def read_requests(spark: SparkSession, path: str) -> DataFrame:
+    """The requests that a router has written."""
+    return spark.read.parquet(path).drop("day", "micro_batch")
 
-    `state` has the last status per run and layer and stands in front of the new
-    events. Nothing is sorted or gathered per key beyond a range of events.
-    """
-    columns = [*STATE_KEYS, "seq", "status"]
-    rows = events.select(*columns, F.lit(True).alias("new")).unionByName(
-        state.select(*columns, F.lit(False).alias("new"))
-    )
-    found = (
-        previous_in_order(rows, STATE_KEYS, "seq", "status", "before", width)
-        .where(
-            F.col("new")
-            & (F.upper("status") == "SUCCEEDED")
-            & (F.upper(F.coalesce("before", F.lit(""))) != "SUCCEEDED")
-        )
-        .select(*STATE_KEYS, "seq")
-    )
-    after = rows.groupBy(*STATE_KEYS).agg(
-        F.max("seq").alias("seq"), F.max_by("status", "seq").alias("status")
-    )
-    return found, after
+
+def _new_statuses(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Transitions among the events of one run and layer that are newer than the state."""
+    last, status = state.get if state.exists else (None, "")
+    rows = pd.concat(list(batches)).drop_duplicates("seq").sort_values("seq")
+    if last is not None:
+        rows = rows[rows["seq"] > last]
+    if len(rows):
+        now = rows["status"].fillna("").str.upper()
+        before = now.shift(fill_value=(status or "").upper())
+        state.update((int(rows["seq"].iloc[-1]), now.iloc[-1]))
+        hits = rows[(now == "SUCCEEDED") & (before != "SUCCEEDED")]
+        yield pd.DataFrame({n: [v] * len(hits) for n, v in zip(STATE_KEYS, key, strict=True)} | {"seq": hits["seq"].to_numpy()})
 
 
 def start_transitions(
     spark: SparkSession,
     events_path: str,
     out_path: str,
-    state_path: str,
     checkpoint: str,
     every: str | None = None,
     files_per_batch: int | None = None,
-    width: int = RANGE_WIDTH,
 ) -> StreamingQuery:
     """Transitions when the feed has only new statuses, no old image.
 
-    The state is a table with one row per run and layer, a version for each micro-batch.
-    A batch that is repeated after a failure reads the same version before it and
-    overwrites its own output and state, so each transition is written once. Events of
-    one run arrive in sequence order across micro-batches, as the feed delivers them.
+    The last sequence and status of each run and layer are kept in the stream's state
+    store, of which a micro-batch touches only the keys that it has events of. An event that
+    comes again, or after a later one of its key, changes nothing: the later status is
+    known by then. A micro-batch that is done again gives the same rows.
     """
-    fields = "pk string, sk string, layer string, seq bigint, status string"
-
-    def run(events: DataFrame, batch: int) -> None:
-        session = events.sparkSession
-        if batch == 0:
-            state = session.createDataFrame([], fields)
-        else:
-            # A missing version fails here: going on without it would lose transitions.
-            state = session.read.schema(fields).parquet(f"{state_path}/version={batch - 1}")
-        found, after = detect_in_batch(events, state, width)
-        found.write.mode("overwrite").parquet(f"{out_path}/batch={batch}")
-        after.write.mode("overwrite").parquet(f"{state_path}/version={batch}")
-
-    writer = (
-        read_feed(spark, events_path, EVENT_SCHEMA, files_per_batch)
-        .writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(run)
+    events = read_feed(spark, events_path, EVENT_SCHEMA, files_per_batch)
+    found = events.groupBy(*STATE_KEYS).applyInPandasWithState(
+        _new_statuses,
+        "pk string, sk string, layer string, seq long",
+        "seq long, status string",
+        "append",
+        GroupStateTimeout.NoTimeout,
     )
-    return _trigger(writer, every).start()
+    writer = found.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")
+    return _trigger(writer, every).start(out_path)

@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakepnl.functions.run_keys import PROJECT, batch_of, business_date_of, execution_name
+from lakepnl.functions.run_keys import (
+    batch_of,
+    business_date_of,
+    env_of,
+    execution_name,
+    project_of,
+)
 from lakepnl.operators.run_state import layer_status
 from lakepnl.schemas import ROUTES
 
@@ -43,21 +49,29 @@ def just_succeeded(feed: DataFrame) -> DataFrame:
     )
 
 
-def routes(spark) -> DataFrame:
-    """The fixed routes: one row per layer that starts something."""
-    return spark.createDataFrame(
-        [(r.layer, r.action, r.target, r.name_prefix) for r in ROUTES],
-        "layer string, action string, target string, name_prefix string",
-    )
-
-
 def route(transitions: DataFrame) -> DataFrame:
     """Each transition with what it starts; layers without a route start nothing."""
-    return transitions.join(F.broadcast(routes(transitions.sparkSession)), "layer")
+    targets = F.create_map(
+        *[
+            part
+            for r in ROUTES
+            for part in (
+                F.lit(r.layer),
+                F.struct(
+                    F.lit(r.action).alias("action"),
+                    F.lit(r.target).alias("target"),
+                    F.lit(r.name_prefix).alias("name_prefix"),
+                ),
+            )
+        ]
+    )
+    found = transitions.withColumn("_route", F.try_element_at(targets, F.col("layer")))
+    return found.where("_route is not null").select(*transitions.columns, "_route.*")
 
 
-def next_requests(routed: DataFrame, env: str = "dev") -> DataFrame:
-    """Arguments of the next step: run and project, and dates where a script needs them."""
+def next_requests(routed: DataFrame) -> DataFrame:
+    """Arguments of the next step: the run with the project and environment of its key, and
+    dates where a script needs them."""
     execution = F.col("action") == "StartExecution"
     day = F.col("business_date")
     name = execution_name(
@@ -73,8 +87,8 @@ def next_requests(routed: DataFrame, env: str = "dev") -> DataFrame:
         "target",
         "business_date",
         "batch_id",
-        F.lit(PROJECT).alias("project"),
-        F.lit(env).alias("environment"),
+        project_of(F.col("pk")).alias("project"),
+        env_of(F.col("pk")).alias("environment"),
         F.when(execution, day).alias("load_date"),
         F.when(execution, day).alias("session_date"),
         F.when(execution, name).alias("execution_name"),

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lakepnl.operators.ordered import position_in_order, previous_in_order
+from lakepnl.operators.ordered import position_in_order, previous_in_order, range_width
 
 
 @pytest.fixture
@@ -39,3 +39,23 @@ def test_ranges_of_very_large_numbers(spark):
     rows = spark.range(10).select(F.lit("k").alias("key"), (F.col("id") + (1 << 60)).alias("seq"))
     got = position_in_order(rows, ["key"], "seq", "at", 3).orderBy("seq").collect()
     assert [r["at"] for r in got] == list(range(10))
+
+
+def test_sparse_numbers_and_null_keys(spark):
+    """Nanoseconds on a hot key: ranges follow the rows, and a NULL key is a key."""
+    ids = F.col("id")
+    rows = spark.range(4000).select(
+        F.when(ids % 4 != 0, "hot").when(ids % 8 == 0, "cold").alias("key"),
+        (ids * 1_000_000_007 + (1 << 60)).alias("seq"),
+        (ids % 3).cast("string").alias("value"),
+    )
+    width = range_width(rows, "seq", 100)
+    assert 20 <= rows.select(F.floor(F.col("seq") / width)).distinct().count() <= 60
+    window = Window.partitionBy("key").orderBy("seq")
+    plain = rows.select("key", "seq", (F.row_number().over(window) - 1).alias("at"))
+    for got in (position_in_order(rows, ["key"], "seq", "at", width), position_in_order(rows, ["key"], "seq", "at")):
+        assert sorted(map(str, got.select("key", "seq", "at").collect())) == sorted(map(str, plain.collect()))
+    lagged = rows.withColumn("prev", F.lag("value").over(window))
+    got = previous_in_order(rows, ["key"], "seq", "value", "prev")
+    assert sorted(map(str, got.collect())) == sorted(map(str, lagged.select(got.columns).collect()))
+    assert position_in_order(rows.where("false"), ["key"], "seq", "at").count() == 0

@@ -10,6 +10,7 @@ from lakepnl import fixtures as fx
 from lakepnl.operators import run_state as rs
 from lakepnl.plans import marts
 from lakepnl.plans.scripts import run_script
+from lakepnl.queries import MODULES
 from lakepnl.session import new_folder
 from lakepnl.sources import layers
 
@@ -60,7 +61,7 @@ def test_layer_scan_prunes(spark, sf):
     assert re.search(r"ReadSchema: struct<(.*?)>", text).group(1) == "net_amount:decimal(20,2)"
 
 
-NO_FILES = [n for n in entry.queries() if not n.startswith(("scan_", "stream_", "landing_", "skip_"))]
+NO_FILES = [n for m in MODULES for n in m.QUERIES if not n.startswith(("scan_", "stream_", "landing_", "skip_"))]
 
 
 @pytest.mark.parametrize(
@@ -146,3 +147,45 @@ def test_script_gate(spark):
     assert [r["allowed"] for r in judged] == [True, False, False, True, True]
     assert judged[1]["reason"] == "redshift_silver is not SUCCEEDED but ''"
     assert all(r["allowed"] for r in rs.gate_scripts(requests, items, "Yes").collect())
+
+
+def test_verdicts_sort_no_record(spark, sf):
+    """Records meet a hash aggregate; only rows per batch and error are sorted."""
+    text = plan(entry.queries()["batch_verdict"](spark, sf))
+    first = [line for line in text.splitlines() if "Aggregate" in line][-1]
+    assert "HashAggregate" in first and "partial_count" in first
+
+
+def test_fold_keeps_names_that_no_list_has(spark):
+    rows = [("p", "r", 1, "layer", "new_layer", None, "A"), ("p", "r", 2, "table", "raw", "fx_rates", "B"),
+            ("p", "r", 2, "table", "raw", "fx_rates", "B"), (None, "r", 3, "layer", "x", None, "C")]
+    updates = spark.createDataFrame(
+        [(*r, "e", "2024-01-01", "t", "l", "k", "long " * 900) for r in rows],
+        "pk string, sk string, seq long, kind string, layer string, table_name string, status string, env_key string, "
+        "business_date string, t string, lane string, s3_key string, error string",
+    )
+    got = {r["pk"]: r for r in rs.fold(updates).collect()}
+    assert got["p"]["layers"]["new_layer"]["status"] == "A" and got["p"]["tables"]["fx_rates"]["status"] == "B"
+    assert len(got["p"]["layers"]["new_layer"]["full_error"]) == 4500 and len(got["p"]["layers"]["new_layer"]["error"]) == 2000
+    assert got[None]["layers"]["x"]["status"] == "C"
+
+
+def test_archive_removes_what_it_stored(spark):
+    items = rs.fold(
+        spark.createDataFrame(
+            [(f"PIPE#reporting#prod#BDATE#{d}", f"RUN#{b}", 1, "layer", "raw", None, "A", "PIPE#reporting#prod", d, "t", "", "", None)
+             for d in ("2023-01-01", "2023-01-02", "2024-02-09") for b in "ab"],
+            "pk string, sk string, seq long, kind string, layer string, table_name string, status string, env_key string, "
+            "business_date string, t string, lane string, s3_key string, error string",
+        )
+    )
+    state, archive = new_folder(spark, "s"), new_folder(spark, "a")
+    rs.upsert_items(items, state)
+    rs.upsert_items(items.where("sk = 'RUN#a'"), state)
+    assert spark.read.parquet(state).count() == 6
+    for _ in range(2):
+        rs.archive_items(spark, state, archive, "PIPE#reporting#prod", "2024-02-10")
+        assert spark.read.parquet(state).count() == 2 and spark.read.json(archive).count() == 4
+    rs.upsert_items(items.where("business_date = '2023-01-01' AND sk = 'RUN#b'"), state)
+    rs.archive_items(spark, state, archive, "PIPE#reporting#prod", "2024-02-10")
+    assert spark.read.parquet(state).count() == 2 and spark.read.json(archive).count() == 4
