@@ -44,7 +44,7 @@ def sample_check(
         return _result(spark.range(1).select(F.lit(text).alias("error")), job, dataset)
     name = first_file(spark, path).first()["path"]
     if isinstance(contract, JsonContract):
-        text = spark.read.option("wholetext", documents).text(name)
+        text = spark.read.text(name, wholetext=documents)
         return _result(check_json_sample(text, contract, "value"), job, dataset)
     if isinstance(contract, CsvContract):
         # limit(1) of a text file is its first line: the header.

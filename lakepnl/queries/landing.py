@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 from lakepnl import fixtures as fx
 from lakepnl.operators import contracts as ct
-from lakepnl.operators.conform import violations
+from lakepnl.operators.conform import conform, violations
 from lakepnl.plans import jobs, lake, marts
 from lakepnl.plans.catalog import apply_tables, load_table, table_name
-from lakepnl.plans.datasets import lake_config
+from lakepnl.plans.datasets import TRADE_EVENT, lake_config
 from lakepnl.plans.registry import job_input_check, sample_check, silver_load_check
 from lakepnl.queries import cte
 from lakepnl.queries.contracts import RECORDS, VERDICTS, verdicts
@@ -39,6 +39,7 @@ from lakepnl.schemas import (
 from lakepnl.session import new_folder
 from lakepnl.sources import layers
 from lakepnl.sources.raw import (
+    csv_file_rows,
     has_files,
     lane_path,
     scan_csv,
@@ -72,8 +73,12 @@ def land_good_trades(spark: SparkSession, sf_dir: str) -> str:
 
 
 def land_prices(spark: SparkSession, sf_dir: str, sep: str = ",") -> str:
+    """Price files with their columns in one order, and closing prices in another one."""
     path = new_folder(spark, "prices")
-    fx.raw_prices(spark, sf_dir).write.option("header", True).option("sep", sep).csv(path)
+    prices, closing = fx.raw_prices(spark, sf_dir), F.col("is_closing_price") == "true"
+    backwards = prices.where(closing).select(F.lit("x").alias("note"), *reversed(prices.columns))
+    for part in (prices.where(~closing), backwards):
+        part.write.mode("append").option("header", True).option("sep", sep).csv(path)
     return path
 
 
@@ -101,6 +106,84 @@ def scan_csv_price_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_csv(spark, path, list(PRICE_HISTORY_CONTRACT.columns), "tab")
 
 
+def scan_json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One list of records for each batch, over many lines."""
+    path = new_folder(spark, "documents")
+    listed = F.concat(F.lit("[\n"), F.array_join(F.collect_list("record"), ",\n"), F.lit("\n]"))
+    fx.good_trade_records(spark, sf_dir).groupBy("batch_id").agg(listed.alias("value")).write.partitionBy(
+        "batch_id"
+    ).text(path)
+    return scan_json(spark, path).select("external_event_id", "session_date", "currency_code")
+
+
+def contract_csv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of five shapes against the contract: their rows, the bad ones and one error."""
+    base = new_folder(spark, "csv-files")
+    prices = fx.raw_prices(spark, sf_dir)
+    names = prices.columns
+    shapes = {
+        "plain": names,
+        "backwards": names[::-1],
+        "other_column": [F.lit("n").alias("note"), *names],
+        "padded_name": [F.col(c).alias(" price ") if c == "price" else c for c in names],
+        "line_break": [F.concat(c, F.lit("\nB")).alias(c) if c == "price_source_id" else c for c in names],
+    }
+    month = F.month(F.col("session_date").cast("date")) % len(shapes)
+    parts = []
+    for i, (shape, columns) in enumerate(shapes.items()):
+        path = f"{base}/{shape}"
+        prices.where(month == i).select(*columns).write.option("header", True).option(
+            "ignoreLeadingWhiteSpace", False
+        ).option("ignoreTrailingWhiteSpace", False).csv(path)
+        rows = csv_file_rows(spark, path, PRICE_HISTORY_CONTRACT, multi_line=shape == "line_break")
+        checked = ct.check_csv_lines(rows, PRICE_HISTORY_CONTRACT).where("not is_header")
+        parts.append(
+            checked.agg(
+                F.count(F.lit(1)).alias("records"),
+                F.count_if(F.col("error").isNotNull()).alias("bad"),
+                F.min("error").alias("error"),
+            ).withColumn("shape", F.lit(shape))
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches with bad records through contract, lanes, run state, gate and all hops to the report.
+
+    Rejected batches reach neither the gate nor the report.
+    """
+    base = new_folder(spark, "chain")
+    raw, std, silver, state = (f"{base}/{n}" for n in ("raw", "standardized", "silver", "state"))
+    records = fx.trade_records(spark, sf_dir)
+    verdicts = jobs.ingest_json(spark, records, TRADE_EVENT, raw, state)
+    fx.raw_prices(spark, sf_dir).write.option("header", True).csv(lane_path(raw, "price_history"))
+    priced = verdicts.withColumn("lane", F.lit("validated"))
+    jobs.record_tables(spark, priced, "price_history", state)
+    config = lake_config(CONFIG)
+    allowed = jobs.open_batches(spark, state, "lake_validated_to_standardized")
+    passed = allowed.agg(F.count(F.lit(1)).alias("batches_passed"))
+    jobs.validated_to_standardized(spark, config, raw, std, documents=False)
+    jobs.standardized_to_silver(spark, config, std, silver)
+    jobs.load_facts(spark, silver, f"{base}/facts", load_mode="full")
+    jobs.build_gold(spark, f"{base}/facts", f"{base}/gold", DAY, load_mode="full")
+    report = layers.read_loaded(spark, f"{base}/gold/gold_report_pnl").drop(*ETL_COLUMNS)
+    counted = passed.select(
+        F.lit("batches").alias("book_id"), F.col("batches_passed").cast("decimal(20,2)").alias("pnl_itd")
+    )
+    return report.select("session_date", "book_id", "instrument_id", "nominal_close", "pnl_itd").unionByName(
+        counted, allowMissingColumns=True
+    )
+
+
+def conform_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts read as texts, fitted to their table with every rule on."""
+    facts = fx.trade_facts(spark, sf_dir)
+    texts = facts.select(*[F.col(c).cast("string").alias(c) for c in facts.columns])
+    return conform(texts, FACT_TRADE_EVENT, strict=True).select(
+        "external_event_id", "session_date", "fees", "net_amount", "currency_code"
+    )
+
+
 def scan_parquet_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = write_silver(spark, sf_dir, "trade_event")
     return layers.scan_layer(spark, f"{base}/trade_event").drop(*ETL_COLUMNS)
@@ -290,32 +373,51 @@ def gold_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers.read_loaded(spark, f"{base}/gold/gold_report_pnl").drop(*ETL_COLUMNS)
 
 
+def _broken_trades(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Folders of records with one fault each, by the fault."""
+    good, base = fx.good_trade_records(spark, sf_dir), new_folder(spark, "faults")
+    price = '"price":[^,}]*,'
+    faults = {
+        "good": F.col("record"),
+        "missing": F.regexp_replace("record", price, ""),
+        "null": F.regexp_replace("record", price, '"price":null,'),
+        "text": F.regexp_replace("record", price, '"price":"1",'),
+        "list": F.concat(F.lit("["), "record", F.lit("]")),
+    }
+    for name, record in faults.items():
+        good.select(record.alias("value")).write.text(f"{base}/{name}")
+    return {name: f"{base}/{name}" for name in (*faults, "none")}
+
+
 def sample_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw, prices = land_good_trades(spark, sf_dir), land_prices(spark, sf_dir)
-    return sample_check(
-        spark, "sample", "trade_event", raw, TRADE_EVENT_CONTRACT, documents=False
-    ).unionByName(
-        sample_check(spark, "sample", "price_history", prices, PRICE_HISTORY_CONTRACT)
-    )
+    """Samples of good and of broken inputs; the job column names the fault."""
+    parts = [
+        sample_check(spark, fault, "trade_event", path, TRADE_EVENT_CONTRACT, documents=False)
+        for fault, path in _broken_trades(spark, sf_dir).items()
+    ]
+    prices, base = fx.raw_prices(spark, sf_dir), new_folder(spark, "faults")
+    for fault, frame in (("good", prices), ("missing", prices.drop("price"))):
+        frame.write.option("header", True).csv(f"{base}/{fault}")
+        parts.append(sample_check(spark, fault, "price_history", f"{base}/{fault}", PRICE_HISTORY_CONTRACT))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def registry_input_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw, prices = land_good_trades(spark, sf_dir), land_prices(spark, sf_dir)
-    std = new_folder(spark, "standardized")
-    layers.write_layer(fx.standardized_trades(spark, sf_dir), f"{std}/trade_event")
-    layers.write_layer(fx.standardized_prices(spark, sf_dir), f"{std}/price_history")
-    return job_input_check(
-        spark,
-        "validated_to_standardized",
-        {"trade_event": raw, "price_history": prices},
-        documents=False,
-    ).unionByName(
-        job_input_check(
-            spark,
-            "standardized_to_silver",
-            {n: f"{std}/{n}" for n in ("trade_event", "price_history")},
-        )
-    )
+    """The inputs of both lake jobs: once good, once with a fault in every input."""
+    trades, prices = _broken_trades(spark, sf_dir), land_prices(spark, sf_dir)
+    base = new_folder(spark, "standardized")
+    layers.write_layer(fx.standardized_trades(spark, sf_dir), f"{base}/trade_event")
+    layers.write_layer(fx.standardized_prices(spark, sf_dir), f"{base}/price_history")
+    wrong = fx.standardized_trades(spark, sf_dir).withColumn("price", F.col("price").cast("string"))
+    layers.write_layer(wrong, f"{base}/wrong")
+    first, second = "validated_to_standardized", "standardized_to_silver"
+    good = job_input_check(
+        spark, first, {"trade_event": trades["good"], "price_history": prices}, documents=False
+    ).unionByName(job_input_check(spark, second, {n: f"{base}/{n}" for n in ("trade_event", "price_history")}))
+    bad = job_input_check(
+        spark, first, {"trade_event": trades["list"], "price_history": trades["none"]}, documents=False
+    ).unionByName(job_input_check(spark, second, {"trade_event": f"{base}/wrong", "price_history": trades["none"]}))
+    return good.withColumn("inputs", F.lit("good")).unionByName(bad.withColumn("inputs", F.lit("bad")))
 
 
 def silver_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -328,6 +430,10 @@ def silver_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "scan_json_trade_raw": scan_json_trade_raw,
     "scan_csv_price_raw": scan_csv_price_raw,
+    "scan_json_documents": scan_json_documents,
+    "contract_csv_files": contract_csv_files,
+    "pipeline_end_to_end": pipeline_end_to_end,
+    "conform_strict": conform_strict,
     "scan_parquet_layer": scan_parquet_layer,
     "scan_load_date_pruned": scan_load_date_pruned,
     "skip_empty_source": skip_empty_source,
@@ -382,14 +488,18 @@ _TABLE_ROWS = {
 _MART_BASE = _SILVER_ALL
 
 
-def _inputs(checks: list[tuple[str, str, str]]) -> str:
-    """All inputs come from good rows: each check passes where there are rows."""
+def _inputs(checks: list[tuple[str, str, str]], more: str = "") -> str:
+    """Outcomes of checks over files that hold every row of a source."""
     return "\nUNION ALL\n".join(
-        f"SELECT '{job}' AS job, '{name}' AS dataset, count(*) > 0 AS ok, '' AS reason FROM {source}"
-        for job, name, source in checks
+        f"SELECT '{job}' AS job, '{name}' AS dataset, '{reason}' = '' AS ok, '{reason}' AS reason{more} "
+        "FROM lineitem HAVING count(*) > 0"
+        for job, name, reason in checks
     )
 
 
+_NO_NUMBER = "price must be a number"
+_FIRST, _SECOND = "validated_to_standardized", "standardized_to_silver"
+
 ORACLES = {
     "scan_json_trade_raw": sql(
         [cte.RAW_TRADES, RECORDS, "docs AS (SELECT CAST(good AS JSON) AS doc FROM records)"],
@@ -457,14 +567,65 @@ UNION ALL SELECT {_FACT} FROM silver_trades WHERE load_date = DATE '{DAY}'""",
         REPORT,
     ),
     "sample_contract": _inputs(
-        [("sample", "trade_event", "lineitem"), ("sample", "price_history", "lineitem")]
+        [
+            ("good", "trade_event", ""),
+            ("missing", "trade_event", "missing field price"),
+            ("null", "trade_event", _NO_NUMBER),
+            ("text", "trade_event", _NO_NUMBER),
+            ("list", "trade_event", "root must be an object, got array"),
+            ("none", "trade_event", "no files"),
+            ("good", "price_history", ""),
+            ("missing", "price_history", "missing column price"),
+        ]
     ),
     "registry_input_check": _inputs(
+        [(job, name, "") for job in (_FIRST, _SECOND) for name in ("trade_event", "price_history")],
+        ", 'good' AS inputs",
+    )
+    + "\nUNION ALL\n"
+    + _inputs(
         [
-            (job, name, "lineitem")
-            for job in ("validated_to_standardized", "standardized_to_silver")
-            for name in ("trade_event", "price_history")
-        ]
+            (_FIRST, "trade_event", "root must be an object, got array"),
+            (_FIRST, "price_history", "no files"),
+            (_SECOND, "trade_event", "columns with another type: price"),
+            (_SECOND, "price_history", "no files"),
+        ],
+        ", 'bad' AS inputs",
+    ),
+    "scan_json_documents": sql(
+        [cte.RAW_TRADES, RECORDS, "docs AS (SELECT CAST(good AS JSON) AS doc FROM records)"],
+        """SELECT doc->>'$.external_event_id' AS external_event_id,
+  doc->>'$.session_date' AS session_date, doc->>'$.currency_code' AS currency_code FROM docs""",
+    ),
+    "contract_csv_files": sql(
+        [
+            cte.RAW_PRICES,
+            """shaped AS (SELECT CASE month(CAST(session_date AS DATE)) % 5 WHEN 0 THEN 'plain' WHEN 1 THEN 'backwards'
+  WHEN 2 THEN 'other_column' WHEN 3 THEN 'padded_name' ELSE 'line_break' END AS shape FROM raw_prices)""",
+        ],
+        """SELECT shape, count(*) AS records, count(*) FILTER (WHERE shape = 'padded_name') AS bad,
+  CASE WHEN shape = 'padded_name' THEN 'no value for column price' END AS error FROM shaped GROUP BY shape""",
+    ),
+    "conform_strict": sql(
+        cte.TRADES,
+        "SELECT external_event_id, session_date, fees, net_amount, currency_code FROM silver_trades",
+    ),
+    "pipeline_end_to_end": sql(
+        [
+            cte.RAW_TRADES.replace("raw_trades AS", "all_trades AS", 1).replace("THEN 'eur' END", "THEN 'eur' ELSE 'gbp' END"),
+            """lanes AS (
+  SELECT strftime(o_orderdate, '%Y-%m') AS batch,
+    count(*) FILTER (WHERE month(o_orderdate) % 3 = 0 AND (l_orderkey * 7 + l_partkey) % 97 BETWEEN 1 AND 13) AS bad
+  FROM all_trades GROUP BY ALL
+),
+raw_trades AS (
+  SELECT * FROM all_trades WHERE strftime(o_orderdate, '%Y-%m') IN (SELECT batch FROM lanes WHERE bad = 0)
+)""",
+            *_MART_BASE[1:],
+            cte.pnl_cte(DAY),
+        ],
+        """SELECT session_date, book_id, instrument_id, nominal_close, pnl_itd FROM pnl
+UNION ALL SELECT NULL, 'batches', NULL, NULL, CAST(count(*) AS DECIMAL(20,2)) FROM lanes WHERE bad = 0""",
     ),
     "silver_load_check": sql(
         _SILVER_ALL,

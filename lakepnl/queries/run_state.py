@@ -175,6 +175,20 @@ def layer_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def script_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests for warehouse scripts, some of which name no run."""
+    n = F.col("user_id") % 7
+    requests = fx.run_events(spark, sf_dir).select(
+        F.col("seq").alias("request_id"),
+        "env",
+        fx.pick(F.col("user_id") % 3, {0: "copy_s3_to_silver/a.sql", 1: "silver_to_gold/b.sql"}, "ddl/c.sql").alias("script"),
+        F.when(n == 1, "").when(n != 2, F.col("business_date")).alias("load_date"),
+        F.when(n == 2, F.col("business_date")).otherwise("").alias("session_date"),
+        "batch_id",
+    )
+    return rs.gate_scripts(requests, items(spark, sf_dir)).select("request_id", "layer", "allowed", "reason")
+
+
 def legacy_layer_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = F.col("layers")
     return items(spark, sf_dir).select(
@@ -366,6 +380,7 @@ QUERIES = {
     "archive_errors": archive_errors,
     "layer_gate": layer_gate,
     "legacy_layer_status": legacy_layer_status,
+    "script_gate": script_gate,
     "transition_lag": transition_lag,
     "just_succeeded": transitions,
     "route_next_job": route_next_job,
@@ -611,6 +626,28 @@ judged AS (
         ],
         "SELECT request_id, layer, previous_layer, reason IS NULL AS allowed, reason FROM judged",
     ),
+    "script_gate": _sql(
+        [
+            STATE,
+            """
+asked AS (
+  SELECT seq AS request_id, pk, sk, user_id % 7 = 1 AS no_run,
+    CASE user_id % 3 WHEN 0 THEN 'redshift_silver' WHEN 1 THEN 'gold' END AS layer,
+    CASE user_id % 3 WHEN 0 THEN 'lake_standardized_to_silver' WHEN 1 THEN 'redshift_silver' END AS before
+  FROM run_events
+),
+found AS (
+  SELECT a.*, coalesce(s.status, '') AS got, coalesce(o.status, '') = 'SUCCEEDED' AND before = 'redshift_silver' AS old
+  FROM asked a LEFT JOIN layer_state s ON (s.pk, s.sk, s.layer) = (a.pk, a.sk, a.before)
+    LEFT JOIN layer_state o ON (o.pk, o.sk, o.layer) = (a.pk, a.sk, 'redshift')
+),
+judged AS (
+  SELECT request_id, layer, CASE WHEN NOT no_run AND before IS NOT NULL AND got <> 'SUCCEEDED' AND NOT old
+    THEN before || ' is not SUCCEEDED but ''' || got || '''' END AS reason FROM found
+)""",
+        ],
+        "SELECT request_id, layer, reason IS NULL AS allowed, reason FROM judged",
+    ),
     "legacy_layer_status": _sql(
         [STATE],
         f"SELECT pk, sk, {', '.join(f'{_ok(n)} AS {n}_ok' for n in LAYERS)} FROM runs r",
