@@ -536,7 +536,8 @@ UNION ALL SELECT {_FACT} FROM silver_trades WHERE load_date = DATE '{DAY}'""",
     ),
     "mart_replace_insert": sql(
         [
-            *_MART_BASE,
+            *cte.TRADES,
+            *cte.SOME_PRICES,
             cte.pnl_cte(DAY),
             cte.pnl_cte(DAY, f"session_date = DATE '{DAY}'", "closing", "is_closing_price"),
         ],

@@ -85,7 +85,7 @@ QUERIES = {
     **{name: _measures(*columns) for name, columns in MEASURES.items()},
 }
 
-_ALL = [*cte.TRADES, *cte.PRICES]
+_ALL = [*cte.TRADES, *cte.SOME_PRICES]
 REPORT = """SELECT session_date, book_id, instrument_id, custody_country, currency_code, market_price_close,
   nominal_close, market_value_close, total_pnl_daily AS pnl_daily, pnl_mtd, pnl_ytd, pnl_itd,
   'position' AS row_type FROM pnl"""
@@ -106,7 +106,7 @@ ORACLES = {
             cte.RAW_TRADES,
             cte.STD_TRADES,
             cte.SILVER_TRADES,
-            *cte.PRICES,
+            *cte.SOME_PRICES,
             "numbered AS (SELECT *, row_number() OVER () AS row_id FROM silver_trades)",
         ],
         """SELECT any_value(e.external_event_id) AS external_event_id, any_value(e.session_date) AS session_date,
