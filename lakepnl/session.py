@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 _local_roots: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -17,9 +20,28 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     # A repeated key in a JSON object keeps its last value instead of failing the record.
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Gives this package to the Python workers, once for each application.
+
+    The driver serves the archive to its executors, wherever they run, so functions that run in
+    tasks can be found there without an installed package.
+    """
+    app_id = spark.sparkContext.applicationId
+    if app_id in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="run-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(app_id)
+
+
 def local_session(cores: int | str = 8, app: str = "lakepnl", **conf: str) -> SparkSession:
     """Session for tests and bench.py."""
     builder = (
