@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from lakepnl.session import new_folder
+from lakepnl.session import new_folder, ship_package
 
 SLICE = 1 << 20
 ROWS_PER_BATCH = 500
@@ -34,10 +34,16 @@ _powers: dict[str, np.ndarray] = {}
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Batches between the JVM and Python hold few rows, as texts can be long."""
+    """Batches between the JVM and Python hold few rows, as texts can be long; workers get this package."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
 
 
+def large_batches(spark: SparkSession) -> None:
+    """Batches for rows of a few numbers."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(200 * ROWS_PER_BATCH))
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
     """The rows as a table in the shared folder: cuts the lineage and survives lost executors."""
     spark = df.sparkSession

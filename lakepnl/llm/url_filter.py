@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakepnl.session import ship_package
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _TO_LOWER = str.maketrans(UPPER, LOWER)
 
@@ -118,6 +120,7 @@ def score_urls(df: DataFrame, vocabulary: Vocabulary = DEFAULT, url: str = "url"
             rows = [count_terms(x or "", terms) for x in batch]
             yield pd.DataFrame(rows, columns=["n_strict", "n_soft", "n_strict_terms", "n_soft_terms"])
 
+    ship_package(df.sparkSession)
     made = ("n_strict", "n_soft", "n_strict_terms", "n_soft_terms")
     df = df.withColumn("_terms", count(F.col(url)))
     df = df.withColumns({name: F.col(f"_terms.{name}") for name in made}).drop("_terms")
