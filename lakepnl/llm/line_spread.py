@@ -1,6 +1,7 @@
 """Line dedup by the number of sites that a line is found on.
 
-A line is known by the hash of its trimmed text; blank lines never count. Lines seen on
+A line is known by the hash of its trimmed text. Lines below `min_words` words never count: one
+or two words stand alone on a line by chance, and on more sites the more pages there are. Lines seen on
 several sites get a HyperLogLog sketch of their sites, made on the map side and merged by
 aggregation. Only where the estimate is near the threshold, within a band many times the
 sketch's error, the different sites are counted exactly. Lines on `min_sites` sites or more
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from lakepnl.llm.text import saved, small_batches
 
-MIN_SITES, COPIED_SHARE = 5, 80
+MIN_SITES, MIN_WORDS, COPIED_SHARE = 5, 3, 80
 SKETCH_BITS = 12
 ADDED = ("n_lines", "n_removed", "copied")
 _TRIM = "^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$"
@@ -53,8 +54,9 @@ def row_key(text: str = "text") -> list[Column]:
     ]
 
 
-def boilerplate(found: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """Hashes of lines on at least min_sites sites."""
+def boilerplate(found: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS) -> DataFrame:
+    """Hashes of lines of at least min_words words on at least min_sites sites."""
+    found = found.where(F.col("words") >= min_words)
     seen = found.select("line", F.xxhash64("site").alias("_site")).groupBy("line").agg(F.count("*").alias("n"), F.min("_site").alias("a"), F.max("_site").alias("b"))
     several = (F.col("n") >= min_sites) & (F.lit(min_sites < 2) | (F.col("a") != F.col("b")))
     wide = saved(seen.where(several).select("line"), "wide-lines")
@@ -69,13 +71,18 @@ def boilerplate(found: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
 
 
 def without_boilerplate(
-    docs: DataFrame, min_sites: int = MIN_SITES, copied_share: int = COPIED_SHARE, text: str = "text", site: str = "source"
+    docs: DataFrame,
+    min_sites: int = MIN_SITES,
+    min_words: int = MIN_WORDS,
+    copied_share: int = COPIED_SHARE,
+    text: str = "text",
+    site: str = "source",
 ) -> DataFrame:
     """The documents with their text rid of boilerplate, n_lines, n_removed (long) and copied (boolean)."""
     small_batches(docs.sparkSession)
     docs = docs.drop(*ADDED)
     found = saved(lines(docs, text, site), "lines")
-    out = found.join(boilerplate(found, min_sites), "line", "left_semi")
+    out = found.join(boilerplate(found, min_sites, min_words), "line", "left_semi")
     out = out.groupBy("_id", "_hash").agg(F.collect_set(F.struct("position", "words")).alias("_gone"))
     out = out.select(
         "_id",

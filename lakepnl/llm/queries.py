@@ -209,7 +209,7 @@ WITH l AS (
   SELECT *, regexp_replace(raw, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS line,
          len(regexp_extract_all(raw, '[^\x20\x09-\x0D]+')) AS words FROM l
 ), b AS (
-  SELECT line FROM t WHERE line <> '' GROUP BY line HAVING count(DISTINCT site) >= {line_spread.MIN_SITES}
+  SELECT line FROM t WHERE words >= {line_spread.MIN_WORDS} GROUP BY line HAVING count(DISTINCT site) >= {line_spread.MIN_SITES}
 ), m AS (
   SELECT t.*, b.line IS NOT NULL AS hit FROM t LEFT JOIN b USING (line)
 ), s AS (

@@ -142,6 +142,7 @@ def test_line_spread_near_and_far_of_the_threshold(spark):
             rows.append((len(rows), f"own first line of many words {len(rows)}\n  line on {n_sites} sites \n\nown last {len(rows)}", f"s{k}", "c"))
     copy = "\n".join(f"copied line {k}" for k in range(9))
     rows += [(1000 + k, copy + f"\nchanged {k}", f"s{k}", "c") for k in range(12)]
+    rows += [(1500 + k, f"From.\nAll the\nown {k} text of this page {k}", f"s{k}", "c") for k in range(12)]
     rows += [(2000, None, "s1", "c"), (2001, "", None, "c"), (2002, "\n\n", "s1", "c")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, copied string")
     got = {r["doc_id"]: r for r in line_spread.without_boilerplate(df).collect()}
@@ -150,7 +151,7 @@ def test_line_spread_near_and_far_of_the_threshold(spark):
         gone = re.search(r"line on (5|6|7|8|9|40) sites", text or "")
         want = text if not gone else "\n".join(x for x in text.split("\n") if "line on" not in x)
         assert got[doc_id]["text"] == want and got[doc_id]["n_removed"] == bool(gone)
-        assert got[doc_id]["copied"] == (1000 <= doc_id < 2000)
+        assert got[doc_id]["copied"] == (1000 <= doc_id < 1500)
     assert line_spread.without_boilerplate(df.where("false")).count() == 0
 
 
