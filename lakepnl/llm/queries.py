@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,10 +34,7 @@ TOKENIZER = "byte_bpe_50k.json"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
-    """Where the vocabulary file lies: below $TOKENIZER_DIR, or in the installed package."""
-    folder = os.environ.get("TOKENIZER_DIR")
-    if folder:
-        return f"{folder}/{name}"
+    """Where a vocabulary file lies on the workers; the operators take any path."""
     import public_tokenizers
 
     return str(public_tokenizers.path(name))
