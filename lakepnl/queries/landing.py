@@ -36,7 +36,7 @@ from lakepnl.schemas import (
     STANDARDIZED_TRADE_EVENT,
     TRADE_EVENT_CONTRACT,
 )
-from lakepnl.session import new_folder
+from lakepnl.session import new_folder, stored
 from lakepnl.sources import layers
 from lakepnl.sources.raw import (
     csv_file_rows,
@@ -49,6 +49,16 @@ from lakepnl.sources.raw import (
 
 # A load date and a session date at once.
 DAY = "1998-01-01"
+TABLES = (
+    STANDARDIZED_TRADE_EVENT,
+    STANDARDIZED_PRICE_HISTORY,
+    SILVER_TRADE_EVENT,
+    SILVER_PRICE_HISTORY,
+    FACT_TRADE_EVENT,
+    FACT_PRICE_HISTORY,
+    GOLD_PNL_DAILY,
+    GOLD_REPORT_PNL,
+)
 CONFIG = {
     "dataset_order": ["trade_event", "price_history"],
     "raw_subprefix": "validated",
@@ -316,7 +326,7 @@ def schema_registry_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     second = apply_tables(spark, base, suffix=suffix)
     dry = apply_tables(spark, base, suffix=suffix, dry_run=True)
 
-    def stored(table) -> DataFrame:
+    def rows_of(table) -> DataFrame:
         return spark.table(table_name(table, suffix))
 
     def load(table, df: DataFrame) -> None:
@@ -324,37 +334,33 @@ def schema_registry_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     load(STANDARDIZED_TRADE_EVENT, fx.standardized_trades(spark, sf_dir))
     load(STANDARDIZED_PRICE_HISTORY, fx.standardized_prices(spark, sf_dir))
-    load(SILVER_TRADE_EVENT, lake.silver_trade_event(stored(STANDARDIZED_TRADE_EVENT)))
-    load(SILVER_PRICE_HISTORY, lake.silver_price_history(stored(STANDARDIZED_PRICE_HISTORY)))
-    load(FACT_TRADE_EVENT, marts.fact_trade_event(stored(SILVER_TRADE_EVENT)))
-    load(FACT_PRICE_HISTORY, marts.fact_price_history(stored(SILVER_PRICE_HISTORY)))
-    daily = marts.pnl_daily(stored(FACT_TRADE_EVENT), stored(FACT_PRICE_HISTORY), DAY, "full")
+    load(SILVER_TRADE_EVENT, lake.silver_trade_event(rows_of(STANDARDIZED_TRADE_EVENT)))
+    load(SILVER_PRICE_HISTORY, lake.silver_price_history(rows_of(STANDARDIZED_PRICE_HISTORY)))
+    load(FACT_TRADE_EVENT, marts.fact_trade_event(rows_of(SILVER_TRADE_EVENT)))
+    load(FACT_PRICE_HISTORY, marts.fact_price_history(rows_of(SILVER_PRICE_HISTORY)))
+    daily = marts.pnl_daily(rows_of(FACT_TRADE_EVENT), rows_of(FACT_PRICE_HISTORY), DAY, "full")
     load(GOLD_PNL_DAILY, daily)
-    load(GOLD_REPORT_PNL, marts.gold_report_pnl(stored(GOLD_PNL_DAILY), DAY, "full"))
+    load(GOLD_REPORT_PNL, marts.gold_report_pnl(rows_of(GOLD_PNL_DAILY), DAY, "full"))
     counts = reduce(
         DataFrame.unionByName,
         [
-            stored(t).agg(F.count(F.lit(1)).alias("rows")).withColumn(
+            rows_of(t).agg(F.count(F.lit(1)).alias("rows")).withColumn(
                 "table_name", F.lit(t.full_name)
             )
-            for t in (
-                STANDARDIZED_TRADE_EVENT,
-                STANDARDIZED_PRICE_HISTORY,
-                SILVER_TRADE_EVENT,
-                SILVER_PRICE_HISTORY,
-                FACT_TRADE_EVENT,
-                FACT_PRICE_HISTORY,
-                GOLD_PNL_DAILY,
-                GOLD_REPORT_PNL,
-            )
+            for t in TABLES
         ],
     )
-    return (
+    outcome = stored(
         first.withColumnRenamed("status", "first_status")
         .join(second.select("table_name", F.col("status").alias("second_status")), "table_name")
         .join(dry.select("table_name", F.col("status").alias("dry_status")), "table_name")
-        .join(counts, "table_name")
+        .join(counts, "table_name"),
+        "outcome",
     )
+    # Nothing of the trial stays in the catalog.
+    for database in {table_name(t, suffix).rpartition(".")[0] for t in TABLES}:
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+    return outcome
 
 
 def gold_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
 _shipped: set[str] = set()
@@ -79,3 +79,10 @@ def work_root(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh path below the work root; nothing is created until something is written."""
     return f"{work_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows as a table in the shared folder: computed once, and of known size to the planner."""
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
