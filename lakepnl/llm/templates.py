@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from lakepnl.llm.text import saved, small_batches
 from lakepnl.llm.url_filter import host_path
 
-MIN_PAGES, SHARE = 8, 0.2
+MIN_PAGES, SHARE, WRAPPER = 8, 0.2, 0.8
 
 #: Kinds of elements of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -81,6 +81,7 @@ class Node:
     marked: bool = False
     items: list = field(default_factory=list)
     key: int = 0
+    size: int = 0
     holds_article: bool = False
 
 
@@ -167,6 +168,7 @@ def hash_subtrees(root: Node) -> None:
             continue
         parts = [" ".join(x.split()) if isinstance(x, str) else str(x.key) for x in node.items]
         parts = [x for x in parts if x and x != "0"]
+        node.size = sum(len(x) if isinstance(x, str) else x.size for x in node.items)
         node.key = xxhash.xxh64_intdigest("\x1f".join([node.tag, *parts])) - (1 << 63) or 1 if parts else 0
 
 
@@ -178,29 +180,38 @@ def nodes(root: Node) -> Iterator[Node]:
         waiting += [x for x in reversed(node.items) if not isinstance(x, str)]
 
 
-def _dropped(node: Node, templates: frozenset, inside: bool) -> bool:
-    if node.tag in ("article", "main") or node.holds_article:
-        return node.marked and node.tag == "article" and inside
-    if node.tag in NOT_TEXT or node.marked or (node.tag == "header" and not inside):
+def _dropped(node: Node, templates: frozenset, inside: bool, whole: int = 0) -> bool:
+    """Whether an element is not part of the main text.
+
+    A name on an element that holds nearly all of the text (`whole` characters) describes the
+    page rather than the element. Outside the article, what holds one is looked into.
+    """
+    if not inside and (node.tag in ("article", "main") or node.holds_article):
+        return False
+    if node.tag in NOT_TEXT or (node.tag == "header" and not inside) or node.key in templates:
         return True
-    return node.key in templates
+    return node.marked and not node.size > WRAPPER * whole > 0
+
+
+def _articles(root: Node, tag: str) -> list[Node]:
+    """The outermost elements of a kind; those within a marked element only if there are no others."""
+    found: list[Node] = []
+    marked: list[Node] = []
+    waiting = [(root, False)]
+    while waiting:
+        node, below = waiting.pop()
+        if node.tag == tag and not node.marked:
+            (marked if below else found).append(node)
+        elif not _dropped(node, frozenset(), False):
+            below = below or node.marked or node.tag in NOT_TEXT
+            waiting += [(x, below) for x in reversed(node.items) if not isinstance(x, str)]
+    return found or marked
 
 
 def main_text(root: Node, templates: frozenset = frozenset()) -> str:
     """Blocks of the article, joined by line ends."""
-    starts = [root]
-    for wanted in ("article", "main"):
-        found: list[Node] = []
-        waiting = [root]
-        while waiting:
-            node = waiting.pop()
-            if node.tag == wanted and not node.marked:
-                found.append(node)
-            elif not _dropped(node, frozenset(), False):
-                waiting += [x for x in reversed(node.items) if not isinstance(x, str)]
-        if found:
-            starts = found
-            break
+    starts = _articles(root, "article") or _articles(root, "main") or [root]
+    whole = sum(start.size for start in starts)
     blocks: list[str] = []
     own: list[str] = []
 
@@ -220,7 +231,7 @@ def main_text(root: Node, templates: frozenset = frozenset()) -> str:
             flush()
         elif isinstance(item, str):
             own.append(item)
-        elif item in starts or not _dropped(item, templates, inside):
+        elif any(item is x for x in starts) or not _dropped(item, templates, inside, whole):
             if item.tag in ("br", "wbr"):
                 own.append(" " if item.tag == "br" else "")
                 continue

@@ -63,6 +63,26 @@ def test_blocks_and_marked_elements():
     assert main_text(parse("<a href=\"" * 2_000)) == ""
 
 
+def text_of(page):
+    root = parse(page)
+    hash_subtrees(root)
+    return main_text(root)
+
+
+def test_comments_and_wrappers():
+    article = "<article><h1>T</h1><p>the text of the article is long enough here</p>{}</article>"
+    want = "T\nthe text of the article is long enough here"
+    nested = "<section id=comments><h2>2 comments</h2><article><p>first!</p></article></section>"
+    assert text_of(article.format(nested)) == want
+    assert text_of(article.format("") + nested) == want
+    assert text_of("<div class='page has-sidebar'>" + article.format("") + "</div>") == want
+    wrapped = "<div class='page no-sidebar'><h1>T</h1><p>the text of the article is long enough here</p><div class=sidebar>s</div></div>"
+    assert text_of("<body>" + wrapped) == want
+    assert text_of("<article><div class='entry share-ready'><p>body of the text</p></div></article>") == "body of the text"
+    assert text_of("<article>a</article><div class=ad><article>b</article></div><article>c</article>") == "a\nc"
+    assert text_of("<form><article>whole page in a form</article></form>") == "whole page in a form"
+
+
 def test_equal_subtrees_have_equal_keys():
     root = parse("<div><p>a  b</p></div><div><p>a\nb</p></div><div><p>a c</p></div><div> </div>")
     hash_subtrees(root)
