@@ -42,7 +42,7 @@ def sample_check(
         wrong = [c.name for c in contract.columns if got.get(c.name) != c.data_type]
         text = f"columns with another type: {', '.join(wrong)}" if wrong else None
         return _result(spark.range(1).select(F.lit(text).alias("error")), job, dataset)
-    name = first_file(spark, path).first()["path"]
+    name = first_file(spark, path)
     if isinstance(contract, JsonContract):
         text = spark.read.text(name, wholetext=documents)
         return _result(check_json_sample(text, contract, "value"), job, dataset)
