@@ -33,6 +33,7 @@ HALF, CONSISTENCY = 0.5, 1.92
 #: Quantile 1 - 1e-6 of the chi-squared distribution of 5.
 CUT = 35.9
 MIN_GROUP, STEPS = 30, 3
+KEYS_PER_FILE = 10_000
 BIN = 1 / 128
 _P = range(len(VECTOR))
 _BLANK = "[\\x20\\x09-\\x0D]+"
@@ -99,6 +100,8 @@ def _key(*columns: str) -> Column:
 def _quantiles(rows: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
     """Upper edges of the bins in which the shares of a key's rows are reached."""
     bins = rows.groupBy(*keys, F.floor(F.col(value) / BIN).alias("_bin")).agg(F.count("*").alias("_n"))
+    # Written first: else the counts would be dealt out by key alone, for the windows below.
+    bins = saved(bins, "bins")
     up_to = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*keys)
     bins = bins.withColumns({"_to": F.sum("_n").over(up_to), "_all": F.sum("_n").over(whole)})
@@ -145,8 +148,14 @@ def _covariance(rows: DataFrame) -> DataFrame:
     return made.withColumns(spread).drop(*[f"s{i}{j}" for i, j in pairs])
 
 
-def estimates(vectors: DataFrame, steps: int = STEPS) -> DataFrame:
+def _files(n_keys: int) -> int:
+    """Files for one row per key: few, as the size of many small ones hides how little they hold."""
+    return 1 + n_keys // KEYS_PER_FILE
+
+
+def estimates(vectors: DataFrame, n_keys: int, steps: int = STEPS) -> DataFrame:
     """MCD estimate (n, centre m, covariance c, factor l) of each key from rows key, x0, x1, ..."""
+    files = _files(n_keys)
     long = vectors.select(
         "key", F.posexplode(F.array(*[F.col(f"x{i}") for i in _P])).alias("i", "x")
     )
@@ -156,13 +165,14 @@ def estimates(vectors: DataFrame, steps: int = STEPS) -> DataFrame:
         *[F.max(F.when(F.col("i") == i, F.pow((F.col("high") - F.col("low")) / 1.349, 2))).alias(f"c{i}{i}") for i in _P],
     )
     off = {f"c{i}{j}": F.lit(0.0) for i in _P for j in range(i)}
-    now = saved(_with_factor(start.withColumns(off), 1.0), "mcd")
+    now = saved(_with_factor(start.withColumns(off), 1.0).repartition(files), "mcd")
     for step in range(steps):
         rows = _distance(vectors.join(now, "key")).withColumn("log_d2", F.log1p("d2"))
-        limit = saved(_quantiles(rows, ["key"], "log_d2", {"limit": HALF}), "mcd-limit")
+        limit = saved(_quantiles(rows, ["key"], "log_d2", {"limit": HALF}).repartition(files), "mcd-limit")
         half = rows.join(limit, "key").where("log_d2 <= limit")
         last = step == steps - 1
-        now = saved(_with_factor(_covariance(half.select("key", *[f"x{i}" for i in _P])), CONSISTENCY if last else 1.0), "mcd")
+        found = _covariance(half.select("key", *[f"x{i}" for i in _P]))
+        now = saved(_with_factor(found, CONSISTENCY if last else 1.0).repartition(files), "mcd")
     return now
 
 
@@ -174,7 +184,8 @@ def outliers(counted: DataFrame, lang: str = "lang", source: str = "source") ->
     )
     vectors = saved(good.select(F.explode("keys").alias("key"), *[f"x{i}" for i in _P]), "vectors")
     sizes = saved(vectors.groupBy("key").agg(F.count("*").alias("size")), "sizes")
-    made = estimates(vectors).drop("n", *[f"c{i}{j}" for i in _P for j in range(i + 1)])
+    n_keys = sizes.count()
+    made = estimates(vectors, n_keys).drop("n", *[f"c{i}{j}" for i in _P for j in range(i + 1)])
     groups = counted.select(levels[0].alias("group"), levels[1].alias("lang_key")).distinct()
     groups = groups.join(sizes.select(F.col("key").alias("group"), F.col("size").alias("n_group")), "group", "left")
     groups = groups.join(sizes.select(F.col("key").alias("lang_key"), F.col("size").alias("n_lang")), "lang_key", "left")
@@ -183,7 +194,8 @@ def outliers(counted: DataFrame, lang: str = "lang", source: str = "source") ->
         .when(F.col("n_lang") >= MIN_GROUP, F.col("lang_key"))
         .otherwise(levels[2])
     )
-    per_group = saved(groups.select("group", chosen.alias("key")).join(made, "key").drop("key"), "group-estimates")
+    per_group = groups.select("group", chosen.alias("key")).join(made, "key").drop("key")
+    per_group = saved(per_group.repartition(_files(n_keys)), "group-estimates")
     own = [c for c in counted.columns if c not in ("distance", "kept")]
     rows = counted.select(*own).withColumns({"group": levels[0]} | {f"x{i}": x for i, x in enumerate(vector_or_null())})
     rows = _distance(rows.join(per_group, "group", "left"))
