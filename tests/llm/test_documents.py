@@ -15,6 +15,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lakepnl.llm import decontaminate, line_spread, pitman_yor, quality, queries, sanitise, simhash
+from lakepnl.llm.text import saved
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 AZ = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -266,6 +267,24 @@ def test_probabilities_sum_to_one(spark, small, monkeypatch):
         assert math.isclose(r["score"], other["score"], rel_tol=1e-9)
 
 
+def test_rare_words_are_contexts(spark):
+    """Words far below a class of their own predict the word that follows them."""
+    rows = [(k, f"key{k % 900} value{k % 900} filler{k % 7} filler{k % 5}") for k in range(2700)]
+    rows += [(5000, "key17 value17"), (5001, "key17 value18"), (5002, "unknown value17")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    held = F.col("doc_id") >= 5000
+    model = pitman_yor.fit(df.where(~held))
+    got = {r["doc_id"]: r for r in pitman_yor.score(df, model, held).collect()}
+    assert len(got) == len(rows) and got[5002]["n_known"] == 2
+    assert got[5000]["score"] > got[5001]["score"] + 1.5
+    # Every known word after one context, and one unknown word, share all but what the root leaves to the start.
+    contexts = model.contexts.where("n = 3").limit(1).select("before")
+    every = contexts.crossJoin(model.scored.select("word")).join(model.pairs, ["before", "word"], "left").fillna(0)
+    one = contexts.select("before", F.lit(-77).cast("long").alias("word"), F.lit(0).cast("long").alias("c"), F.lit(0).cast("long").alias("t"))
+    total = pitman_yor.scored_pairs(saved(every.unionByName(one), "every"), model).agg(F.sum(F.pow(F.lit(10.0), "log_p"))).first()[0]
+    assert math.isclose(total, 1, rel_tol=1e-4)
+
+
 def test_seating_follows_the_restaurant():
     """Mean number of tables of customers who sit down at weight A, against the recursion."""
     n, a, d = 40, 0.7, 0.3
