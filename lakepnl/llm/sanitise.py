@@ -9,7 +9,8 @@ if they are independent. Terms at REMOVE or more are removed from documents with
 terms at GENERALISE or more are replaced by the kind of the entity.
 
 A pair counts only with MIN_CONTEXTS different lines, and with half as many different lines as
-documents: the words around an entity in copies of one document say nothing about it.
+different texts: the words around an entity in near-copies of one document say nothing about it.
+Equal texts count once here, so copies neither make a pair nor unmake it.
 
 Entities and the words near them come out of one pass over all texts. Document counts of the
 terms come from a second one, in which a bitmap of fixed size passes on the few words that
@@ -211,7 +212,8 @@ def disclosures(
     pairs = found.select("doc_id", "text_hash", F.explode("contexts").alias("c")).select(
         "doc_id", "text_hash", "c.entity", "c.term", "c.line"
     )
-    lines = pairs.groupBy("entity", "term", "line").agg(F.count("*").alias("n"))
+    texts = pairs.select("entity", "term", "line", "text_hash").distinct()
+    lines = texts.groupBy("entity", "term", "line").agg(F.count("*").alias("n"))
     support = lines.groupBy("entity", "term").agg(F.count("*").alias("n_lines"), F.sum("n").alias("n_rows"))
     likely = saved(support.where((F.col("n_lines") >= min_contexts) & (2 * F.col("n_lines") >= F.col("n_rows"))), "likely")
     own = pairs.join(likely, ["entity", "term"], "left_semi").select("entity", "term", "doc_id", "text_hash").distinct()

@@ -368,6 +368,15 @@ def test_revealing_terms(spark):
     assert sanitise.find_spans(df.where("false")).count() == 0
 
 
+def test_copies_do_not_unmake_a_pair(spark):
+    """Three independent documents reveal an entity, however many copies one of them has."""
+    rows = [(k, f"Zebulon wrote report {k}, zq@example.com") for k in range(3)]
+    rows += [(10 + k, rows[0][1]) for k in range(4)] + [(100 + k, f"report number {k} by somebody") for k in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in sanitise.find_spans(df).collect()}
+    assert all("Zebulon" not in got[k]["sanitised"] for k in (0, 1, 2, 10, 13))
+
+
 def test_spans_of_odd_rows(odd_docs):
     got = sanitise.find_spans(odd_docs).collect()
     assert len(got) == odd_docs.count()
