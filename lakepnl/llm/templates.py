@@ -2,13 +2,13 @@
 
 Pages are parsed twice. The first pass hashes the subtree of every element from its tag, its
 text and its children; Spark counts, for each host, on how many different pages a subtree
-stands. Pages with the same title count once, so that an article with many copies is no
-template. Subtrees on many pages of their host are deleted in the second pass, next to
+stands. Pages whose whole trees are equal count once, so that a page with many copies is no
+template. Subtrees on MIN_PAGES pages of their host are deleted in the second pass, next to
 elements that their own tag, class or id marks as something other than the article.
 
 What is left of the article (or of the main element, or of the body, if there is none) is cut
-into blocks at block-level tags. Hosts meet only in counts; the templates of a host are at most
-as many as a page has elements, divided by SHARE, and join the pages as one small row per host.
+into blocks at block-level tags. Templates are rows of host and subtree, which meet the subtrees of
+each page; a page gets back those of its own, and no list of a host's templates is ever made.
 
 Null HTML is empty and gives an empty text; a null URL has the empty host. Repeated rows give the
 same text. Columns named like the added ones are replaced.
@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from lakepnl.llm.text import saved, small_batches
 from lakepnl.llm.url_filter import host_path
 
-MIN_PAGES, SHARE, WRAPPER = 8, 0.2, 0.8
+MIN_PAGES, WRAPPER = 8, 0.8
 
 #: Kinds of elements of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -243,57 +243,44 @@ def main_text(root: Node, templates: frozenset = frozenset()) -> str:
     return "\n".join(blocks)
 
 
-def title(root: Node, page: str) -> str:
-    """What tells a page from other pages of its site: its title, else its first heading."""
-    found = re.search(r"<title[^>]*>(.*?)</title", page, re.S | re.I)
-    if found and found[1].strip():
-        return " ".join(found[1].split())
-    for node in nodes(root):
-        if node.tag in ("h1", "h2"):
-            return str(node.key)
-    return str(root.key)
-
-
 def subtrees(pages: DataFrame) -> DataFrame:
-    """host, title (a hash) and subtree (a hash) of every element with text, once for each page."""
+    """host, page (hash of its HTML), content (hash of its tree) and subtrees (hashes of its elements with text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, titles, keys = [], [], []
-            for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            contents, keys = [], []
+            for page in batch.column(2).to_pylist():
                 root = parse(page)
                 hash_subtrees(root)
                 own = {n.key for n in nodes(root) if n.key and not n.holds_article and n.tag not in ("article", "main")}
-                name = xxhash.xxh64_intdigest(title(root, page)) - (1 << 63)
-                hosts += [host] * len(own)
-                titles += [name] * len(own)
-                keys += own
+                contents.append(root.key)
+                keys.append(list(own))
+            made = [pa.array(contents, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(titles, pa.int64()), pa.array(keys, pa.int64())],
-                ["host", "title", "subtree"],
+                [batch.column(0), batch.column(1), *made], ["host", "page", "content", "subtrees"]
             )
 
-    return pages.select("_host", "_html").mapInArrow(run, "host string, title long, subtree long")
+    picked = pages.select("_host", "_page", "_html")
+    return picked.mapInArrow(run, "host string, page long, content long, subtrees array<long>")
 
 
-def site_templates(found: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
-    """_host and _templates: subtrees on min_pages different pages and a share of all different pages of the host."""
-    seen = saved(found.distinct(), "subtrees")
-    pages = seen.select("host", "title").distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    counted = seen.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-    often = counted.join(pages, "host").where(F.col("n") >= share * F.col("pages"))
-    return saved(
-        often.groupBy(F.col("host").alias("_host")).agg(F.collect_list("subtree").alias("_templates")), "templates"
-    )
+def page_templates(found: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """_host, _page and _templates: the page's own subtrees that stand on min_pages different pages of the host."""
+    found = saved(found, "subtrees")
+    # One page for each content: hashes of the subtrees follow it, wherever the tree is the same.
+    first = found.dropDuplicates(["host", "content"]).select("host", F.explode("subtrees").alias("subtree"))
+    often = saved(first.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages).drop("n"), "templates")
+    own = found.dropDuplicates(["host", "page"]).select("host", "page", F.explode("subtrees").alias("subtree"))
+    own = own.join(often, ["host", "subtree"]).groupBy(F.col("host").alias("_host"), F.col("page").alias("_page"))
+    return saved(own.agg(F.collect_list("subtree").alias("_templates")), "page-templates")
 
 
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE, url: str = "url", html: str = "html") -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = MIN_PAGES, url: str = "url", html: str = "html") -> DataFrame:
     """Adds text (the main text) and n_chars (its code points); the HTML goes."""
     small_batches(pages.sparkSession)
-    pages = pages.drop("text", "n_chars").withColumns(
-        {"_host": host_path(url)[0], "_html": F.coalesce(F.col(html).cast("string"), F.lit(""))}
-    )
-    templates = site_templates(subtrees(pages), min_pages, share)
+    whole = F.coalesce(F.col(html).cast("string"), F.lit(""))
+    pages = pages.drop("text", "n_chars").withColumns({"_host": host_path(url)[0], "_html": whole, "_page": F.xxhash64(whole)})
+    templates = page_templates(subtrees(pages), min_pages)
 
     @F.pandas_udf(T.StringType())
     def text(page: pd.Series, own: pd.Series) -> pd.Series:
@@ -304,7 +291,7 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE,
             made.append(main_text(root, frozenset(keys) if keys is not None else frozenset()))
         return pd.Series(made, dtype=object)
 
-    joined = pages.join(templates, "_host", "left")
-    own = [c for c in pages.columns if c not in ("_host", "_html", html)]
+    joined = pages.join(templates, ["_host", "_page"], "left")
+    own = [c for c in pages.columns if c not in ("_host", "_html", "_page", html)]
     made = joined.select(*own, text("_html", "_templates").alias("text"))
     return made.withColumn("n_chars", F.char_length("text").cast("long"))

@@ -106,6 +106,15 @@ def test_site_templates_go_and_copies_stay(spark):
     assert templates.extract(df.where("false")).count() == 0
 
 
+def test_templates_of_a_section_and_of_pages_with_one_title(spark):
+    """A block on 10 of 100 pages of a host, and on pages that all have the site's name as title."""
+    rows = [page(k, f"own text {k}", extra="<span>Section notice</span>" if k < 10 else "") for k in range(100)]
+    rows += [(k, f"http://one.example/{k}", f"<title>site</title><body><div>Menu of all</div><p>own text {k}</p>") for k in range(200, 212)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in templates.extract(df).collect()}
+    assert got == {r[0]: f"own text {r[0]}" for r in rows}
+
+
 def test_extraction_of_the_table(spark, sf):
     """Against a plain reading of the article element."""
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
