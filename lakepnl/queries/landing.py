@@ -49,6 +49,8 @@ from lakepnl.sources.raw import (
 
 # A load date and a session date at once.
 DAY = "1998-01-01"
+#: Records of a JSON document, about.
+DOCUMENT_RECORDS = 1000
 TABLES = (
     STANDARDIZED_TRADE_EVENT,
     STANDARDIZED_PRICE_HISTORY,
@@ -116,13 +118,20 @@ def scan_csv_price_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_csv(spark, path, list(PRICE_HISTORY_CONTRACT.columns), "tab")
 
 
+def record_documents(records: DataFrame, size: int = DOCUMENT_RECORDS) -> DataFrame:
+    """batch_id and value: lists of about `size` records of a batch, over many lines."""
+    parts = records.groupBy("batch_id").agg(F.ceil(F.count(F.lit(1)) / size).alias("parts"))
+    part = F.pmod(F.xxhash64("batch_id", "pos"), "parts").alias("part")
+    listed = F.concat(F.lit("[\n"), F.array_join(F.collect_list("record"), ",\n"), F.lit("\n]"))
+    dealt = records.join(parts, "batch_id").select("batch_id", part, "record")
+    return dealt.groupBy("batch_id", "part").agg(listed.alias("value")).drop("part")
+
+
 def scan_json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One list of records for each batch, over many lines."""
+    """Lists of records over many lines, one to a file; their number grows with a batch, not their size."""
     path = new_folder(spark, "documents")
-    listed = F.concat(F.lit("[\n"), F.array_join(F.collect_list("record"), ",\n"), F.lit("\n]"))
-    fx.good_trade_records(spark, sf_dir).groupBy("batch_id").agg(listed.alias("value")).write.partitionBy(
-        "batch_id"
-    ).text(path)
+    documents = record_documents(fx.good_trade_records(spark, sf_dir))
+    documents.write.partitionBy("batch_id").option("maxRecordsPerFile", 1).text(path)
     return scan_json(spark, path).select("external_event_id", "session_date", "currency_code")
 
 
