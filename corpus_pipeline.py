@@ -2,7 +2,7 @@
 
 Every stage gets all that the stage before kept, decides on it with one operator, and all but
 the last return the columns of documents. Null texts go with the first stage. Documents without an
-id cannot be told apart and pass near-duplicate removal. Empty tables stay empty.
+id pass near-duplicate removal; all others are told apart by id and text. Empty tables stay empty.
 """
 
 from __future__ import annotations
@@ -29,10 +29,14 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of near-duplicates."""
-    found = simhash.near_duplicates(docs, shingle=3, max_distance=2)
-    first = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """One row, the first by id and hash of the text, of each group of near-duplicates."""
+    row = F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64("text"))
+    keyed = docs.withColumn("_row", row)
+    found = simhash.near_duplicates(keyed, shingle=3, max_distance=2, doc_id="_row")
+    found = found.select(F.col("doc_id").alias("_row"), "component_id").distinct()
+    ids = keyed.where("doc_id is not null").select("_row", F.struct("doc_id", F.xxhash64("text").alias("text"), "_row").alias("_first"))
+    first = ids.join(found, "_row").groupBy("component_id").agg(F.min("_first")["_row"].alias("_row"))
+    kept = keyed.join(first.select("_row"), "_row", "left_semi").dropDuplicates(["_row"])
     return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 

@@ -43,3 +43,13 @@ def test_odd_and_no_rows(spark, sf, odd_docs, no_docs):
 def test_near_dedup_keeps_one_of_repeated_rows(spark, sf, odd_docs):
     kept = [r["doc_id"] for r in corpus_pipeline.near_dedup(spark, odd_docs, sf).collect()]
     assert sorted(map(str, kept)) == sorted(map(str, [1, 2, None, 5, 7, 8]))
+
+
+def test_near_dedup_tells_rows_of_one_id_apart(spark, sf, small):
+    """Ids that collide between sources: each text is judged by its own group."""
+    texts = [r["text"] for r in small.where("length(text) > 500").orderBy("doc_id").limit(5).collect()]
+    rows = [(1, texts[0]), (1, texts[1]), (0, texts[0]), (2, texts[1]), (3, texts[2]), (3, texts[2])]
+    rows += [(4, texts[3]), (4, texts[4])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_dedup(spark, df, sf).collect()]
+    assert sorted(kept) == sorted([(0, texts[0]), (1, texts[1]), (3, texts[2]), *rows[-2:]])
