@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from lakepnl.llm import (
     decontaminate,
+    fill_middle,
+    hard_negatives,
     line_spread,
+    mixing,
     packing,
     pitman_yor,
     quality,
@@ -116,6 +119,31 @@ def op10_pii_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.hard_negatives(read_table(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return found.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_middle.fill_in_middle(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    restored = fill_middle.restore(found, "output", "form")
+    return restored.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -127,6 +155,9 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_pii_sanitisation": op10_pii_sanitisation,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_mixing": op12_mixing,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 
@@ -219,4 +250,54 @@ SELECT s.doc_id, n_lines::BIGINT AS n_lines, (CASE WHEN copied THEN 0 ELSE n_hit
 FROM s JOIN documents d USING (doc_id)
 """
 
-ORACLES = {"op1_url_filter": OP1_SQL, "op4_decontamination": OP4_SQL, "op5_line_dedup": OP5_SQL}
+OP11_SQL = """
+WITH e AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.r AS a, a.vec_id AS anchor_id, o.r AS o, o.vec_id AS other_id, a.label = o.label AS same,
+         list_dot_product(a.v, o.v)::BIGINT AS score
+  FROM e a, e o WHERE a.vec_id % 100 = 0 AND a.r <> o.r
+), p AS (
+  SELECT * FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, other_id NULLS LAST) <= 5
+)
+SELECT p.anchor_id, p.other_id AS positive_id,
+       row_number() OVER (PARTITION BY p.a, p.o ORDER BY s.score DESC, s.other_id NULLS LAST)::INTEGER AS rank,
+       s.other_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON p.a = s.a AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.a, p.o ORDER BY s.score DESC, s.other_id NULLS LAST) <= 10
+"""
+
+OP13_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS x, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS t,
+         sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), c AS (
+  SELECT *, len(t) AS n, ('0x' || h[1:8])::BIGINT % (len(t) + 1) AS c1, ('0x' || h[9:16])::BIGINT % (len(t) + 1) AS c2,
+         CASE WHEN x = '' OR contains(x, '<P>') OR contains(x, '<S>') OR contains(x, '<M>')
+                   OR ('0x' || h[17:24])::BIGINT % 100 >= 90 THEN 'plain'
+              WHEN ('0x' || h[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d
+), p AS (
+  SELECT *, array_to_string(t[1:least(c1, c2)], '') AS a, array_to_string(t[least(c1, c2) + 1:greatest(c1, c2)], '') AS b,
+         array_to_string(t[greatest(c1, c2) + 1:], '') AS z FROM c
+)
+SELECT doc_id, n::BIGINT AS n, form,
+       CASE WHEN form <> 'plain' THEN length(a)::BIGINT END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(b)::BIGINT END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN x WHEN 'psm' THEN '<P>' || a || '<S>' || z || '<M>' || b
+                        ELSE '<S>' || z || '<P>' || a || '<M>' || b END) AS output_sha256,
+       sha256(x) AS restored_sha256
+FROM p
+"""
+
+ORACLES = {
+    "op1_url_filter": OP1_SQL,
+    "op4_decontamination": OP4_SQL,
+    "op5_line_dedup": OP5_SQL,
+    "op11_hard_negatives": OP11_SQL,
+    "op13_fill_in_middle": OP13_SQL,
+}
