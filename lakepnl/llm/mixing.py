@@ -13,8 +13,9 @@ classes, and the few classes of a source are settled by running sums.
 Sampling. The whole part of the expectation is allocated at once, to every document. The fraction p
 is an inclusion probability, unequal between classes. Documents are ranked by random odds over
 inclusion odds, u / (1 - u) : p / (1 - p), and taken in that order as long as they fit into the words
-that are left for the source; a document that does not fit is passed over. The sample is of fixed
-size in words: a source falls short of its target by less than the smallest document behind.
+that are left for the source; a document that does not fit is passed over. So the sample is of fixed
+size in words. At the end one document, the one nearest in size to what is still missing, is
+taken once more if that brings the source nearer to its target.
 
 No source is gathered in a task: ranks are cut into buckets, words are summed by bucket, and only the
 bucket where a source's words run out is sorted. u is a hash of id, source and text, and of the number
@@ -204,6 +205,21 @@ def mix(
     )
     extra = F.when((F.col("fraction") > EDGE) & F.coalesce(once, F.lit(False)), 1).otherwise(0)
     copies = F.coalesce(F.col("whole"), F.lit(0)) + extra
-    return ranked.withColumn("copies", copies.cast("long")).select(
+    made = ["doc_id", "source", *SOURCE, "size", "source_size", "target", "draw"]
+    filled = saved(ranked.select(*made, copies.cast("long").alias("copies")), "filled")
+    closed = filled.join(_closing(filled, limit), [*SOURCE, "draw"], "left").withColumn(
+        "copies", F.col("copies") + F.coalesce("once_more", F.lit(0))
+    )
+    return closed.select(
         "doc_id", "source", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies"
     )
+
+
+def _closing(filled: DataFrame, limit: int) -> DataFrame:
+    """For each source the document of which one more copy comes nearest to the target, if any comes nearer."""
+    words = F.floor(F.max("target") - F.sum(F.col("copies") * F.col("size")) + 0.5).cast("long")
+    left = filled.groupBy(*SOURCE).agg(words.alias("words")).where("words > 0")
+    off = F.abs(F.col("words") - F.col("size"))
+    open_rows = filled.where((F.col("copies") < limit) & (F.col("size") > 0)).join(left, SOURCE).where(off < F.col("words"))
+    best = open_rows.groupBy(*SOURCE).agg(F.min(F.struct(off.alias("off"), F.col("size"), F.col("draw"))).alias("best"))
+    return best.select(*SOURCE, F.col("best.draw").alias("draw"), F.lit(1).alias("once_more"))

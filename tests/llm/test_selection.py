@@ -156,8 +156,8 @@ def checked_mix(docs, tolerance):
 
 def test_mix_of_the_table(spark, small):
     """Targets are met to a few words, and the sample does not follow the layout of the table."""
-    first = checked_mix(small, 250)
-    assert checked_mix(small.repartition(7), 250) == first
+    first = checked_mix(small, 210)
+    assert checked_mix(small.repartition(7), 210) == first
     sizes = {r["doc_id"]: len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or "")) for r in small.collect()}
     assert all(sizes[r[0]] == r[2] for r in first)
 
@@ -189,9 +189,14 @@ def test_order_is_that_of_pareto_sampling(spark, small):
         if size <= left[name]:
             left[name] -= size
             chosen.add(doc_id)
-    got = {r["doc_id"]: r["copies"] for r in mixing.mix(small).collect()}
-    want = {r["doc_id"]: (plans[r["name"], r["class"]]["whole"] if r["size"] else 0) + (r["doc_id"] in chosen) for r in rows.collect()}
-    assert got == want
+    found = rows.collect()
+    want = {r["doc_id"]: (plans[r["name"], r["class"]]["whole"] if r["size"] else 0) + (r["doc_id"] in chosen) for r in found}
+    for name, words in left.items():
+        own = [r for r in found if r["name"] == name and r["size"] and want[r["doc_id"]] < 3]
+        near = min(((abs(words - r["size"]), r["size"], r["draw"], r["doc_id"]) for r in own), default=(words,))
+        if near[0] < words:
+            want[near[3]] += 1
+    assert {r["doc_id"]: r["copies"] for r in mixing.mix(small).collect()} == want
 
 
 def test_mix_of_odd_rows(spark, odd_docs, no_docs):
