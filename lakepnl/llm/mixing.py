@@ -41,6 +41,8 @@ DAMPING = 0.25
 CLASSES = 4
 #: Buckets of the rank, of which the words run out in one.
 BUCKETS = 1 << 14
+#: Shares of a source's rows that are dealt out apart from each other.
+SALTS = 64
 #: Probabilities stay this far from 0 and 1, so that odds are finite.
 EDGE = 1e-9
 
@@ -124,13 +126,20 @@ def _places(rows: DataFrame, plan: DataFrame) -> DataFrame:
     return ranked.select(*SOURCE, "size", *PLACE, F.floor(F.col("rank") * BUCKETS).cast("int").alias("bucket"))
 
 
+def _with_source(rows: DataFrame, sources: DataFrame) -> DataFrame:
+    """Rows with the columns of their source; the rows of a source are spread over SALTS keys."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salted = rows.withColumn("salt", F.pmod("draw", F.lit(SALTS)).cast("int"))
+    return salted.join(sources.withColumn("salt", salts), [*SOURCE, "salt"])
+
+
 def _fill(places: DataFrame, left: DataFrame) -> DataFrame:
     """One round: from `after` on, how far the documents of at most `words` words fit.
 
     `upto` is the place of the first that does not (null: all fit), `rest` the words left there.
     """
     place = F.struct(*PLACE)
-    fits = places.join(left, SOURCE).where((F.col("size") <= F.col("words")) & (F.col("after").isNull() | (place > F.col("after"))))
+    fits = _with_source(places, left).where((F.col("size") <= F.col("words")) & (F.col("after").isNull() | (place > F.col("after"))))
     sums = fits.groupBy(*SOURCE, "bucket").agg(F.sum("size").alias("held"), F.first("words").alias("words"))
     before = F.sum("held").over(Window.partitionBy(*SOURCE).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
     run = sums.withColumn("through", before)
@@ -220,6 +229,7 @@ def _closing(filled: DataFrame, limit: int) -> DataFrame:
     words = F.floor(F.max("target") - F.sum(F.col("copies") * F.col("size")) + 0.5).cast("long")
     left = filled.groupBy(*SOURCE).agg(words.alias("words")).where("words > 0")
     off = F.abs(F.col("words") - F.col("size"))
-    open_rows = filled.where((F.col("copies") < limit) & (F.col("size") > 0)).join(left, SOURCE).where(off < F.col("words"))
-    best = open_rows.groupBy(*SOURCE).agg(F.min(F.struct(off.alias("off"), F.col("size"), F.col("draw"))).alias("best"))
+    open_rows = _with_source(filled.where((F.col("copies") < limit) & (F.col("size") > 0)), left).where(off < F.col("words"))
+    near = open_rows.groupBy(*SOURCE, "salt").agg(F.min(F.struct(off.alias("off"), F.col("size"), F.col("draw"))).alias("near"))
+    best = near.groupBy(*SOURCE).agg(F.min("near").alias("best"))
     return best.select(*SOURCE, F.col("best.draw").alias("draw"), F.lit(1).alias("once_more"))
