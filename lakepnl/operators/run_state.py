@@ -20,12 +20,14 @@ from lakepnl.functions.run_keys import (
 )
 from lakepnl.operators.ordered import position_in_order
 from lakepnl.schemas import EXPECTED_RAW_TABLES, LAYERS, LEGACY_LAYER_KEYS, PREVIOUS_LAYER
-from lakepnl.session import new_folder
-from lakepnl.sources.layers import drop_folder, write_archive
-from lakepnl.sources.raw import has_files
+from lakepnl.sources.layers import write_archive
+from lakepnl.sources.published import current, is_published, publish, read_published, stage, upsert
 
 LAYER_KEYS = (*LAYERS, *LEGACY_LAYER_KEYS.values())
 ERROR_LENGTH = 2000
+#: Parts of a day of stored items, by run: an upsert rewrites those that it has runs of.
+ITEM_BUCKETS = 8
+ITEM_PARTS = ["day", "bucket"]
 
 
 def _latest(value: Column, hit: Column) -> Column:
@@ -59,12 +61,14 @@ def fold(updates: DataFrame) -> DataFrame:
         F.col("t").alias("updated_at"),
         F.substring("error", 1, ERROR_LENGTH).alias("error"),
         F.col("error").alias("full_error"),
+        F.col("seq").alias("seq"),
     )
     table_doc = F.struct(
         F.col("lane").alias("lane"),
         F.col("status").alias("status"),
         F.col("s3_key").alias("s3_key"),
         F.col("t").alias("updated_at"),
+        F.col("seq").alias("seq"),
     )
 
     def entries(kind: str, doc: Column) -> Column:
@@ -107,6 +111,7 @@ def with_raw_layer(items: DataFrame, expected: tuple[str, ...] = EXPECTED_RAW_TA
         F.col("updated_at").alias("updated_at"),
         F.lit(None).cast("string").alias("error"),
         F.lit(None).cast("string").alias("full_error"),
+        F.lit(None).cast("long").alias("seq"),
     )
     others = F.map_filter("layers", lambda name, _: name != "raw")
     layers = F.map_concat(others, F.create_map(F.lit("raw"), doc))
@@ -359,43 +364,72 @@ def archive_summary(
     )
 
 
-def write_items(items: DataFrame, path: str) -> None:
-    """Stores run items by business date; a date that is written again is replaced."""
-    items.withColumn("day", F.coalesce("business_date", F.lit(""))).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("day").parquet(path)
+def _stored_items(items: DataFrame) -> DataFrame:
+    """Items with the columns of their place in the stored state: the day, and a part of it by run."""
+    return items.withColumns(
+        {"day": F.nullif("business_date", F.lit("")), "bucket": F.pmod(F.xxhash64("pk", "sk"), F.lit(ITEM_BUCKETS)).cast("int")}
+    )
+
+
+def read_items(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame:
+    """The stored run items, or those of some business dates."""
+    keep = None if days is None else lambda part: (part.values[0] or "") in days
+    return read_published(spark, path, keep).drop("day", "bucket")
 
 
 def upsert_items(items: DataFrame, path: str) -> None:
-    """Puts items in the place of stored ones of the same run; only their dates are rewritten."""
-    spark = items.sparkSession
-    if not has_files(spark, path):
-        write_items(items, path)
-        return
-    stored = spark.read.parquet(path)
-    days = items.select(F.coalesce("business_date", F.lit("")).alias("day")).distinct()
-    others = stored.join(days, "day", "left_semi").join(items, ["pk", "sk"], "left_anti").drop("day")
-    staging = new_folder(spark, "items")
-    others.unionByName(items).write.parquet(staging)
-    write_items(spark.read.parquet(staging), path)
-    drop_folder(spark, staging)
+    """Puts items in the place of stored ones of the same run, in one step.
+
+    Only the parts, a day and bucket each, that hold one of the runs are read and written again.
+    """
+    upsert(_stored_items(items), path, ["pk", "sk"], ITEM_PARTS)
+
+
+def merge_updates(updates: DataFrame, path: str, expected: tuple[str, ...] = EXPECTED_RAW_TABLES) -> None:
+    """Folds updates into the stored items: an entry gives way to one with the same or a later sequence.
+
+    Updates without a sequence come after all that is stored. Layer `raw` follows from the
+    tables. Names that the updates do not mention stay as they are.
+    """
+    spark = updates.sparkSession
+    fresh = fold(updates.withColumn("seq", F.coalesce("seq", F.lit(current(spark, path).number + 1).cast("long"))))
+    if is_published(spark, path):
+        days = [r[0] for r in fresh.select("business_date").distinct().collect()]
+        stored = read_items(spark, path, [d or "" for d in days])
+        old = stored.select("pk", "sk", *[F.col(c).alias(f"_{c}") for c in ("layers", "tables", "updated_at")])
+
+        def together(name: str) -> Column:
+            before = F.coalesce(F.col(f"_{name}"), F.map_filter(name, lambda k, v: F.lit(False)))
+            latest = F.map_filter(F.col(name), lambda k, v: F.coalesce(v["seq"] >= F.try_element_at(before, k)["seq"], F.lit(True)))
+            return F.map_concat(F.map_filter(before, lambda k, v: ~F.map_contains_key(latest, k)), latest)
+
+        same = [fresh[k].eqNullSafe(old[k]) for k in ("pk", "sk")]
+        fresh = fresh.join(old, same, "left").select(
+            *[fresh[c] for c in ("pk", "sk", "env_key", "business_date")],
+            F.greatest(fresh["updated_at"], F.col("_updated_at")).alias("updated_at"),
+            together("layers").alias("layers"),
+            together("tables").alias("tables"),
+        )
+    upsert_items(with_raw_layer(fresh, expected), path)
 
 
 def archive_items(spark: SparkSession, path: str, archive: str, env_key: str, as_of: str, retention_days: int = 30) -> None:
-    """Moves expired items of a stored run state to the archive.
+    """Moves expired items of a stored run state to the archive, in two steps.
 
-    The archive is written first and each item replaces itself there, so that a run that
-    stops between the two steps can be done again.
+    First all of them are written to the archive, where each replaces itself; then one step
+    leaves them out of the state. A run that stops before the second one has moved nothing, and done
+    again it writes the same items over themselves. At no time is an item in neither place.
     """
-    stored = spark.read.parquet(path)
-    expired = stored.where(is_expired(env_key, as_of, retention_days))
-    keyed = expired.drop("day").withColumn("archive_key", archive_key(F.col("pk"), F.col("sk")))
+    before = current(spark, path)
+    if before.schema is None:
+        return
+    expired = is_expired(env_key, as_of, retention_days)
+    old = read_published(spark, path, lambda p: (p.values[0] or "") < as_of, before).where(expired)
+    keyed = old.drop(*ITEM_PARTS).withColumn("archive_key", archive_key(F.col("pk"), F.col("sk")))
     write_archive(keyed, archive)
-    days = [r["day"] for r in expired.select("day").distinct().collect()]
-    kept = stored.where(F.col("day").isin(days) & ~is_expired(env_key, as_of, retention_days))
-    staging = new_folder(spark, "kept")
-    kept.drop("day").write.parquet(staging)
-    for day in days:
-        drop_folder(spark, f"{path}/day={day}")
-    write_items(spark.read.schema(kept.drop("day").schema).parquet(staging), path)
-    drop_folder(spark, staging)
+    touched = {tuple(r) for r in old.select("day", F.col("bucket").cast("string")).distinct().collect()}
+    if not touched:
+        return
+    rest = read_published(spark, path, lambda p: p.values in touched, before).where(~expired)
+    schema, parts = stage(rest, path, ITEM_PARTS)
+    publish(spark, path, ITEM_PARTS, schema, parts, lambda p: p.values in touched, before)

@@ -13,11 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakepnl import fixtures as fx
+from lakepnl.functions.run_keys import batch_of
 from lakepnl.operators import contracts as ct
+from lakepnl.operators import run_state as rs
 from lakepnl.operators.conform import conform, violations
 from lakepnl.plans import jobs, lake, marts
 from lakepnl.plans.catalog import apply_tables, load_table, table_name
-from lakepnl.plans.datasets import TRADE_EVENT, lake_config
+from lakepnl.plans.datasets import PRICE_HISTORY, TRADE_EVENT, lake_config
 from lakepnl.plans.registry import job_input_check, sample_check, silver_load_check
 from lakepnl.queries import cte
 from lakepnl.queries.contracts import RECORDS, VERDICTS, verdicts
@@ -37,7 +39,7 @@ from lakepnl.schemas import (
     TRADE_EVENT_CONTRACT,
 )
 from lakepnl.session import new_folder, stored
-from lakepnl.sources import layers
+from lakepnl.sources import landing, layers
 from lakepnl.sources.raw import (
     csv_file_rows,
     has_files,
@@ -80,7 +82,7 @@ def _landed(records: DataFrame, dataset: str) -> DataFrame:
 def land_good_trades(spark: SparkSession, sf_dir: str) -> str:
     path = new_folder(spark, "raw")
     records = fx.good_trade_records(spark, sf_dir).withColumn("lane", F.lit("validated"))
-    layers.write_lanes(_landed(records, "trade_event"), path)
+    landing.write_lanes(_landed(records, "trade_event"), path)
     return path
 
 
@@ -166,29 +168,85 @@ def contract_csv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def deliver_prices(spark: SparkSession, sf_dir: str) -> str:
+    """CSV files of prices as delivered, one batch a month; every fifth month has cells that are no numbers."""
+    path, day = new_folder(spark, "incoming"), F.col("session_date").cast("date")
+    bad = (F.month(day) % 5 == 2) & (F.substring("instrument_id", 5, 20).cast("long") % 3 == 0)
+    prices = fx.raw_prices(spark, sf_dir)
+    cells = prices.withColumn("price", F.when(bad, F.concat(F.lit("n/a "), "price")).otherwise(F.col("price")))
+    batch = F.concat(F.lit("B-"), F.date_format(day, "yyyy-MM"))
+    labelled = cells.withColumns({"ingestion_date": F.trunc(day, "month").cast("string"), "batch_id": batch})
+    labelled.write.partitionBy("ingestion_date", "batch_id").option("header", True).csv(path)
+    return path
+
+
+def _ingest_all(spark: SparkSession, sf_dir: str, base: str) -> tuple[str, str]:
+    raw, state = f"{base}/raw", f"{base}/state"
+    jobs.ingest_json(spark, fx.trade_records(spark, sf_dir), TRADE_EVENT, raw, state)
+    jobs.ingest_csv(spark, deliver_prices(spark, sf_dir), PRICE_HISTORY, raw, state)
+    return raw, state
+
+
+def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delivered files in their lanes: rows as read there, and what the run state says of the batch."""
+    base = new_folder(spark, "ingest")
+    raw, state = f"{base}/raw", f"{base}/state"
+    verdicts = jobs.ingest_csv(spark, deliver_prices(spark, sf_dir), PRICE_HISTORY, raw, state)
+    parts = []
+    for lane in landing.LANES:
+        folders = landing.landed_folders(spark, raw, "price_history", lane)
+        rows = scan_csv(spark, folders, list(PRICE_HISTORY_CONTRACT.columns)) if folders else None
+        if rows is not None:
+            batch = F.concat(F.lit("B-"), F.substring("session_date", 1, 7))
+            parts.append(rows.groupBy(batch.alias("batch_id")).agg(F.count(F.lit(1)).alias("rows")).withColumn("lane", F.lit(lane)))
+    landed = reduce(DataFrame.unionByName, parts)
+    table = F.try_element_at("tables", F.lit("price_history"))
+    stated = rs.read_items(spark, state).select(batch_of(F.col("sk")).alias("batch_id"), table["status"].alias("status"))
+    judged = verdicts.select("batch_id", "records", "bad_records", (F.col("reason").isNull()).alias("ok"))
+    return judged.join(landed, "batch_id").join(stated, "batch_id")
+
+
+def landing_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches that turn from one lane to the other and back; each is in one lane at the end."""
+    path = new_folder(spark, "raw")
+    routed = ct.route_to_lanes(fx.trade_records(spark, sf_dir), verdicts(spark, sf_dir), ["batch_id"])
+    other = F.when(F.col("lane") == "validated", "rejected").otherwise("validated")
+    even = F.month("ingestion_date") % 2 == 0
+    landing.write_lanes(_landed(routed, "trade_event"), path)
+    landing.write_lanes(_landed(routed.where(even).withColumn("lane", other), "trade_event"), path)
+    landing.write_lanes(_landed(routed.where(F.month("ingestion_date") % 4 == 0), "trade_event"), path)
+    parts = []
+    for lane in landing.LANES:
+        folders = landing.landed_folders(spark, path, "trade_event", lane)
+        lines = spark.read.option("recursiveFileLookup", True).text(folders)
+        parts.append(with_landing_fields(lines).select("lane", "batch_id", F.col("value").alias("record")))
+    # Nothing of a batch is left in the other lane either.
+    every = with_landing_fields(spark.read.option("recursiveFileLookup", True).text([f"{path}/lane={x}" for x in landing.LANES]))
+    counted = every.groupBy("batch_id").agg(F.count(F.lit(1)).alias("lines"))
+    return reduce(DataFrame.unionByName, parts).join(counted, "batch_id")
+
+
 def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batches with bad records through contract, lanes, run state, gate and all hops to the report.
+    """Batches with bad records and bad files through contract, lanes, run state and every gate to the report.
 
-    Rejected batches reach neither the gate nor the report.
+    A batch with a rejected table passes no gate, so nothing of it reaches the report, its good
+    table neither.
     """
     base = new_folder(spark, "chain")
-    raw, std, silver, state = (f"{base}/{n}" for n in ("raw", "standardized", "silver", "state"))
-    records = fx.trade_records(spark, sf_dir)
-    verdicts = jobs.ingest_json(spark, records, TRADE_EVENT, raw, state)
-    fx.raw_prices(spark, sf_dir).write.option("header", True).csv(lane_path(raw, "price_history"))
-    priced = verdicts.withColumn("lane", F.lit("validated"))
-    jobs.record_tables(spark, priced, "price_history", state)
+    std, silver, facts, gold = (f"{base}/{n}" for n in ("standardized", "silver", "facts", "gold"))
+    raw, state = _ingest_all(spark, sf_dir, base)
     config = lake_config(CONFIG)
-    allowed = jobs.open_batches(spark, state, "lake_validated_to_standardized")
-    passed = allowed.agg(F.count(F.lit(1)).alias("batches_passed"))
-    jobs.validated_to_standardized(spark, config, raw, std, documents=False)
-    jobs.standardized_to_silver(spark, config, std, silver)
-    jobs.load_facts(spark, silver, f"{base}/facts", load_mode="full")
-    jobs.build_gold(spark, f"{base}/facts", f"{base}/gold", DAY, load_mode="full")
-    report = layers.read_loaded(spark, f"{base}/gold/gold_report_pnl").drop(*ETL_COLUMNS)
-    counted = passed.select(
-        F.lit("batches").alias("book_id"), F.col("batches_passed").cast("decimal(20,2)").alias("pnl_itd")
-    )
+    first = lambda batches: jobs.validated_to_standardized(spark, config, raw, std, documents=False, batches=batches)
+    for layer, job in (
+        ("lake_validated_to_standardized", first),
+        ("lake_standardized_to_silver", lambda _: jobs.standardized_to_silver(spark, config, std, silver)),
+        ("redshift_silver", lambda _: jobs.load_facts(spark, silver, facts, load_mode="full")),
+        ("gold", lambda _: jobs.build_gold(spark, facts, gold, DAY, load_mode="full")),
+    ):
+        jobs.run_layer(spark, layer, state, job)
+    report = layers.read_loaded(spark, f"{gold}/gold_report_pnl").drop(*ETL_COLUMNS)
+    done = rs.read_items(spark, state).where(rs.layer_succeeded(F.col("layers"), F.lit("gold")))
+    counted = done.agg(F.count(F.lit(1)).cast("decimal(20,2)").alias("pnl_itd")).withColumn("book_id", F.lit("batches"))
     return report.select("session_date", "book_id", "instrument_id", "nominal_close", "pnl_itd").unionByName(
         counted, allowMissingColumns=True
     )
@@ -247,7 +305,7 @@ def _land_all(spark: SparkSession, sf_dir: str) -> str:
         fx.trade_records(spark, sf_dir), verdicts(spark, sf_dir), ["batch_id"]
     )
     for _ in range(2):
-        layers.write_lanes(_landed(routed, "trade_event"), path)
+        landing.write_lanes(_landed(routed, "trade_event"), path)
     return path
 
 
@@ -263,7 +321,7 @@ def landing_lane_write(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value string, lane string, dataset string, ingestion_date string, "
         "ingestion_hour string, batch_id string"
     ).text(_land_all(spark, sf_dir))
-    return landed.withColumnRenamed("value", "record")
+    return landed.withColumnRenamed("value", "record").drop("landing")
 
 
 def dynamic_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -308,7 +366,7 @@ def mart_replace_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     one = marts.pnl_daily(trades, prices, DAY, price_rows="closing")
     layers.replace_load(one, path, DAY)
     layers.replace_load(one, path, DAY)
-    return spark.read.parquet(path).select(
+    return layers.read_loaded(spark, path).select(
         "session_date", "book_id", "instrument_id", "nominal_close", "pnl_mtd", "pnl_itd"
     )
 
@@ -377,7 +435,7 @@ def gold_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = new_folder(spark, "jobs")
     raw, std, silver = f"{base}/raw", f"{base}/standardized", f"{base}/silver"
     records = fx.good_trade_records(spark, sf_dir).withColumn("lane", F.lit("validated"))
-    layers.write_lanes(_landed(records, "trade_event"), raw)
+    landing.write_lanes(_landed(records, "trade_event"), raw)
     prices = fx.raw_prices(spark, sf_dir)
     prices.write.option("header", True).csv(lane_path(raw, "price_history"))
     config = lake_config(CONFIG)
@@ -447,6 +505,8 @@ QUERIES = {
     "scan_csv_price_raw": scan_csv_price_raw,
     "scan_json_documents": scan_json_documents,
     "contract_csv_files": contract_csv_files,
+    "csv_ingest": csv_ingest,
+    "landing_turns": landing_turns,
     "pipeline_end_to_end": pipeline_end_to_end,
     "conform_strict": conform_strict,
     "scan_parquet_layer": scan_parquet_layer,
@@ -512,6 +572,8 @@ def _inputs(checks: list[tuple[str, str, str]], more: str = "") -> str:
     )
 
 
+#: A cell of the delivered prices that is no number.
+_BAD_PRICE = "month(CAST(session_date AS DATE)) % 5 = 2 AND CAST(substr(instrument_id, 5) AS BIGINT) % 3 = 0"
 _NO_NUMBER = "price must be a number"
 _FIRST, _SECOND = "validated_to_standardized", "standardized_to_silver"
 
@@ -626,22 +688,43 @@ UNION ALL SELECT {_FACT} FROM silver_trades WHERE load_date = DATE '{DAY}'""",
         cte.TRADES,
         "SELECT external_event_id, session_date, fees, net_amount, currency_code FROM silver_trades",
     ),
+    "csv_ingest": sql(
+        [cte.RAW_PRICES],
+        f"""SELECT 'B-' || substr(session_date, 1, 7) AS batch_id, count(*) AS records, count(*) AS rows,
+  count(*) FILTER (WHERE {_BAD_PRICE}) AS bad_records, bad_records = 0 AS ok,
+  CASE WHEN bad_records = 0 THEN 'validated' ELSE 'rejected' END AS lane, lane AS status
+FROM raw_prices GROUP BY substr(session_date, 1, 7)""",
+    ),
+    "landing_turns": sql(
+        VERDICTS,
+        """SELECT batch_id, record, count(*) OVER (PARTITION BY batch_id) AS lines,
+  CASE WHEN month(ingestion_date) % 4 <> 2 THEN lane WHEN lane = 'validated' THEN 'rejected' ELSE 'validated' END AS lane
+FROM checked JOIN verdicts USING (batch_id)""",
+    ),
     "pipeline_end_to_end": sql(
         [
             cte.RAW_TRADES.replace("raw_trades AS", "all_trades AS", 1).replace("THEN 'eur' END", "THEN 'eur' ELSE 'gbp' END"),
-            """lanes AS (
+            cte.RAW_PRICES.replace("raw_prices AS", "all_prices AS", 1).replace("raw_trades", "all_trades"),
+            f"""lanes AS (
   SELECT strftime(o_orderdate, '%Y-%m') AS batch,
     count(*) FILTER (WHERE month(o_orderdate) % 3 = 0 AND (l_orderkey * 7 + l_partkey) % 97 BETWEEN 1 AND 13) AS bad
   FROM all_trades GROUP BY ALL
 ),
+allowed AS (
+  SELECT batch FROM lanes WHERE bad = 0 INTERSECT
+  SELECT substr(session_date, 1, 7) FROM all_prices GROUP BY ALL HAVING count(*) FILTER (WHERE {_BAD_PRICE}) = 0
+),
 raw_trades AS (
-  SELECT * FROM all_trades WHERE strftime(o_orderdate, '%Y-%m') IN (SELECT batch FROM lanes WHERE bad = 0)
+  SELECT * FROM all_trades WHERE strftime(o_orderdate, '%Y-%m') IN (SELECT batch FROM allowed)
+),
+raw_prices AS (
+  SELECT * FROM all_prices WHERE substr(session_date, 1, 7) IN (SELECT batch FROM allowed)
 )""",
-            *_MART_BASE[1:],
+            *[x for x in _MART_BASE[1:] if x != cte.RAW_PRICES],
             cte.pnl_cte(DAY),
         ],
         """SELECT session_date, book_id, instrument_id, nominal_close, pnl_itd FROM pnl
-UNION ALL SELECT NULL, 'batches', NULL, NULL, CAST(count(*) AS DECIMAL(20,2)) FROM lanes WHERE bad = 0""",
+UNION ALL SELECT NULL, 'batches', NULL, NULL, CAST(count(*) AS DECIMAL(20,2)) FROM allowed""",
     ),
     "silver_load_check": sql(
         _SILVER_ALL,

@@ -126,7 +126,7 @@ def run_archive_split(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat_ws("/", "year", "month", "day", "archive_key").alias("archive_key"),
         )
     )
-    kept = spark.read.parquet(state).select(
+    kept = rs.read_items(spark, state).select(
         *names, F.lit("kept").alias("outcome"), F.lit("").alias("archive_key")
     )
     return stored.unionByName(kept)

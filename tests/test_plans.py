@@ -24,7 +24,7 @@ def facts(spark, sf):
     base = new_folder(spark, "facts")
     layers.replace_load(fx.trade_facts(spark, sf), f"{base}/trades", "", "full")
     layers.replace_load(fx.price_facts(spark, sf), f"{base}/prices", "", "full")
-    return spark.read.parquet(f"{base}/trades"), spark.read.parquet(f"{base}/prices")
+    return layers.read_loaded(spark, f"{base}/trades"), layers.read_loaded(spark, f"{base}/prices")
 
 
 def test_incremental_mart_reads_one_session_of_both_facts(facts):
@@ -182,10 +182,10 @@ def test_archive_removes_what_it_stored(spark):
     state, archive = new_folder(spark, "s"), new_folder(spark, "a")
     rs.upsert_items(items, state)
     rs.upsert_items(items.where("sk = 'RUN#a'"), state)
-    assert spark.read.parquet(state).count() == 6
+    assert rs.read_items(spark, state).count() == 6
     for _ in range(2):
         rs.archive_items(spark, state, archive, "PIPE#reporting#prod", "2024-02-10")
-        assert spark.read.parquet(state).count() == 2 and spark.read.json(archive).count() == 4
+        assert rs.read_items(spark, state).count() == 2 and spark.read.json(archive).count() == 4
     rs.upsert_items(items.where("business_date = '2023-01-01' AND sk = 'RUN#b'"), state)
     rs.archive_items(spark, state, archive, "PIPE#reporting#prod", "2024-02-10")
-    assert spark.read.parquet(state).count() == 2 and spark.read.json(archive).count() == 4
+    assert rs.read_items(spark, state).count() == 2 and spark.read.json(archive).count() == 4
