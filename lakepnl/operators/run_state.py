@@ -18,7 +18,7 @@ from lakepnl.functions.run_keys import (
     script_layer,
     sort_key,
 )
-from lakepnl.operators.ordered import position_in_order
+from lakepnl.operators.ordered import ROWS_PER_RANGE, position_in_order
 from lakepnl.schemas import EXPECTED_RAW_TABLES, LAYERS, LEGACY_LAYER_KEYS, PREVIOUS_LAYER
 from lakepnl.sources.layers import write_archive
 from lakepnl.sources.published import current, is_published, publish, read_published, stage, upsert
@@ -142,12 +142,12 @@ def script_layers(results: DataFrame, scripts: dict[str, tuple[str, ...]]) -> Da
     return last.select("pk", "sk", *[c.alias(f"{n}_status") for n, c in columns.items()])
 
 
-def execution_log(updates: DataFrame, width: int | None = None) -> DataFrame:
+def execution_log(updates: DataFrame, rows: int = ROWS_PER_RANGE) -> DataFrame:
     """The log of each run as rows with their position: appended in sequence order.
 
     A run of any length stays distributed; see `position_in_order`.
     """
-    return position_in_order(updates, ["pk", "sk"], "seq", "position", width)
+    return position_in_order(updates, ["pk", "sk"], "seq", "position", rows=rows)
 
 
 def layer_status(layers: Column, layer: Column) -> Column:

@@ -17,6 +17,8 @@ from lakepnl.streaming import transitions as tr
 AS_OF = "2024-02-10"
 PROD = "PIPE#reporting#prod"
 RANGE = 4096
+#: Rows of a range of the log: so few that long runs are cut at any scale.
+RUN_ROWS = 50
 SLICES = 4
 
 
@@ -76,7 +78,7 @@ def raw_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def execution_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rs.execution_log(fx.run_updates(spark, sf_dir), RANGE).select(
+    return rs.execution_log(fx.run_updates(spark, sf_dir), RUN_ROWS).select(
         "pk", "sk", "position", "seq", "t", "layer", "action", "status"
     )
 
@@ -200,7 +202,7 @@ def legacy_layer_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def transition_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = previous_in_order(
-        fx.run_events(spark, sf_dir), ["pk", "sk", "layer"], "seq", "status", "before", RANGE
+        fx.run_events(spark, sf_dir), ["pk", "sk", "layer"], "seq", "status", "before"
     )
     return events.where(
         (F.col("status") == "SUCCEEDED") & (F.coalesce("before", F.lit("")) != "SUCCEEDED")
@@ -351,19 +353,19 @@ def stream_router(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_transition_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transitions from statuses alone, with the state carried between micro-batches.
+    """Transitions from statuses alone, with the events of a key carried between micro-batches.
 
-    The third slice comes before the second, which comes twice, so that late and repeated
-    events count for nothing; the first slice holds each of its events twice.
+    Slices come out of order, one comes twice and one holds each event twice; what is left
+    is what the whole log gives at once.
     """
     events, out = new_folder(spark, "events"), new_folder(spark, "transitions")
     checkpoint = new_folder(spark, "checkpoint")
     rows = fx.run_events(spark, sf_dir).select("seq", "pk", "sk", "layer", "status")
     parts = _slices(rows, new_folder(spark, "slices"))
-    for part in [parts[0].unionByName(parts[0]), parts[2], parts[1], parts[1], parts[3]]:
+    for part in [parts[2].unionByName(parts[2]), parts[0], parts[3], parts[0], parts[1]]:
         part.write.mode("append").parquet(events)
         router.start_transitions(spark, events, out, checkpoint).awaitTermination()
-    return spark.read.parquet(out).select("pk", "sk", "layer", "seq")
+    return router.read_transitions(spark, out)
 
 
 QUERIES = {
@@ -701,17 +703,9 @@ FROM (SELECT seq AS request_id,
     "stream_router": _REQUESTS,
     "stream_transition_state": _sql(
         [
-            f"""
-delivered AS (
-  SELECT *, CASE least(seq * {SLICES} // (SELECT max(seq) + 1 FROM run_events), {SLICES - 1})
-    WHEN 1 THEN 2 WHEN 2 THEN 1 WHEN 3 THEN 3 ELSE 0 END AS turn FROM run_events
-),
-counted AS (
-  SELECT * FROM delivered d WHERE NOT EXISTS (SELECT 1 FROM delivered o WHERE o.pk = d.pk AND o.sk = d.sk
-    AND o.layer = d.layer AND o.turn < d.turn AND o.seq > d.seq)
-),
+            """
 lagged AS (
-  SELECT *, lag(status) OVER (PARTITION BY pk, sk, layer ORDER BY seq) AS before FROM counted
+  SELECT *, lag(status) OVER (PARTITION BY pk, sk, layer ORDER BY seq) AS before FROM run_events
 )""",
         ],
         _COMPARE,

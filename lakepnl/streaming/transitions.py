@@ -20,10 +20,11 @@ IMAGE = f"struct<pk:string,sk:string,business_date:string,layers:{_DOC}>"
 FEED_SCHEMA = f"seq bigint, event_name string, new_image {IMAGE}, old_image {IMAGE}"
 
 
-def just_succeeded(feed: DataFrame) -> DataFrame:
+def just_succeeded(feed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Layers that the new image shows as succeeded and the old image does not.
 
     Only inserts and changes count; an image without a date, a run or layers is skipped.
+    Columns of the feed that are to be kept come last.
     """
     layers = F.col("new_image.layers")
     return (
@@ -45,7 +46,7 @@ def just_succeeded(feed: DataFrame) -> DataFrame:
                 != "SUCCEEDED"
             )
         )
-        .select("seq", F.col("new_image.pk").alias("pk"), "business_date", "batch_id", "layer")
+        .select("seq", F.col("new_image.pk").alias("pk"), "business_date", "batch_id", "layer", *keep)
     )
 
 
