@@ -28,6 +28,7 @@ ERROR_LENGTH = 2000
 #: Parts of a day of stored items, by run: an upsert rewrites those that it has runs of.
 ITEM_BUCKETS = 8
 ITEM_PARTS = ["day", "bucket"]
+LOOKUP_BUCKETS = 64
 
 
 def _latest(value: Column, hit: Column) -> Column:
@@ -385,6 +386,25 @@ def upsert_items(items: DataFrame, path: str) -> None:
     upsert(_stored_items(items), path, ["pk", "sk"], ITEM_PARTS)
 
 
+def write_lookup(items: DataFrame, table: str, path: str, buckets: int = LOOKUP_BUCKETS) -> None:
+    """A catalog table of the items for gates and lookups: by environment and day, and in buckets by run.
+
+    Joins on (pk, sk) read it bucket by bucket, so only the other side is shuffled, however many items
+    there are; filters on env_key and day prune. It is replaced as a whole and follows the stored
+    state, which stays the truth.
+    """
+    dealt = items.withColumn("day", F.nullif("business_date", F.lit(""))).repartition(buckets, "pk", "sk")
+    (
+        dealt.write.format("parquet")
+        .mode("overwrite")
+        .option("path", path)
+        .partitionBy("env_key", "day")
+        .bucketBy(buckets, "pk", "sk")
+        .sortBy("pk", "sk")
+        .saveAsTable(table)
+    )
+
+
 def merge_updates(updates: DataFrame, path: str, expected: tuple[str, ...] = EXPECTED_RAW_TABLES) -> None:
     """Folds updates into the stored items: an entry gives way to one with the same or a later sequence.
 

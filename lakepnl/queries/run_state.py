@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from lakepnl.functions import run_keys as rk
 from lakepnl.operators import run_state as rs
 from lakepnl.operators.ordered import previous_in_order
 from lakepnl.schemas import LAYER_SCRIPTS, LAYERS
-from lakepnl.session import new_folder
+from lakepnl.session import new_folder, stored
 from lakepnl.streaming import router
 from lakepnl.streaming import transitions as tr
 
@@ -159,10 +161,10 @@ def archive_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rs.archive_errors(archive_outcomes(spark, sf_dir))
 
 
-def layer_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gate_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = fx.run_events(spark, sf_dir)
     n = F.col("user_id") % 13
-    requests = events.select(
+    return events.select(
         F.col("seq").alias("request_id"),
         "env",
         F.when(n == 1, F.date_add("business_date", 60).cast("string"))
@@ -172,11 +174,25 @@ def layer_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(n == 3, F.lit(None).cast("string")).otherwise(F.col("batch_id")).alias("batch_id"),
         F.when(F.col("layer") == "redshift", "redshift_silver").otherwise(F.col("layer")).alias("layer"),
     )
-    return rs.gate(requests, items(spark, sf_dir)).select(
+
+
+def layer_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rs.gate(gate_requests(spark, sf_dir), items(spark, sf_dir)).select(
         "request_id", "layer", "previous_layer", "allowed", "reason"
     )
 
 
+def gate_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate over the bucketed lookup table of the items."""
+    table = f"run_items_{uuid.uuid4().hex}"
+    rs.write_lookup(items(spark, sf_dir), table, new_folder(spark, "lookup"), 8)
+    allowed = rs.gate(gate_requests(spark, sf_dir), spark.table(table))
+    found = stored(allowed.select("request_id", "layer", "previous_layer", "allowed", "reason"), "gate")
+    # Nothing of the trial stays in the catalog.
+    spark.sql(f"DROP TABLE {table}")
+    return found
+
+
 def script_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests for warehouse scripts, some of which name no run."""
     n = F.col("user_id") % 7
@@ -381,6 +397,7 @@ QUERIES = {
     "archive_summary": archive_summary,
     "archive_errors": archive_errors,
     "layer_gate": layer_gate,
+    "gate_lookup": gate_lookup,
     "legacy_layer_status": legacy_layer_status,
     "script_gate": script_gate,
     "transition_lag": transition_lag,
@@ -711,3 +728,4 @@ lagged AS (
         _COMPARE,
     ),
 }
+ORACLES["gate_lookup"] = ORACLES["layer_gate"]

@@ -11,6 +11,7 @@ from lakepnl.operators import run_state as rs
 from lakepnl.plans import marts
 from lakepnl.plans.scripts import run_script
 from lakepnl.queries import MODULES
+from lakepnl.queries import run_state as state_queries
 from lakepnl.session import new_folder
 from lakepnl.sources import layers
 
@@ -189,3 +190,21 @@ def test_archive_removes_what_it_stored(spark):
     rs.upsert_items(items.where("business_date = '2023-01-01' AND sk = 'RUN#b'"), state)
     rs.archive_items(spark, state, archive, "PIPE#reporting#prod", "2024-02-10")
     assert rs.read_items(spark, state).count() == 2 and spark.read.json(archive).count() == 4
+
+
+def test_gate_over_the_lookup_table_shuffles_no_items(spark, sf):
+    """Only the requests are dealt out; a filter on environment and day prunes the table's folders."""
+    rs.write_lookup(state_queries.items(spark, sf), "lookup_of_test", new_folder(spark, "lookup"), 4)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        text = plan(rs.gate(state_queries.gate_requests(spark, sf), spark.table("lookup_of_test")))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert text.count("Exchange ") == 1 and "SelectedBucketsCount: 4 out of 4" in text
+    left, right = text.split("lookup_of_test")[0], text.split("lookup_of_test")[1]
+    assert "Exchange" in left and "Exchange" not in right
+    one = plan(rs.runs_before(spark.table("lookup_of_test"), "PIPE#reporting#prod", "2024-01-16").where("day = '2024-01-10'"))
+    filters = re.search(r"PartitionFilters: \[(.*?)\]", one).group(1)
+    assert "env_key" in filters and "day" in filters
+    spark.sql("DROP TABLE lookup_of_test")
