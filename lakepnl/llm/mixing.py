@@ -39,8 +39,8 @@ LIMIT = 3
 DAMPING = 0.25
 #: Classes of size for each doubling.
 CLASSES = 4
-#: Buckets of the rank, of which the words run out in one.
-BUCKETS = 1 << 14
+#: Buckets of the rank for each unit; none holds more than a 2,000th of the rows of a class.
+BUCKETS = 512
 #: Shares of a source's rows that are dealt out apart from each other.
 SALTS = 64
 #: Probabilities stay this far from 0 and 1, so that odds are finite.
@@ -112,15 +112,14 @@ def expected_copies(rows: DataFrame, sources: DataFrame, limit: int = LIMIT, dam
 
 
 def _rank(draw: Column, fraction: Column) -> Column:
-    """Random odds over inclusion odds, as a number from 0 to 1 that rises with them."""
+    """Logarithm of random odds over inclusion odds, whose values spread evenly for any fraction."""
     u = (F.shiftrightunsigned(draw, 12).cast("double") + 0.5) / float(1 << 52)
     p = F.greatest(F.least(fraction, F.lit(1 - EDGE)), F.lit(EDGE))
-    odds = (u / (1 - u)) / (p / (1 - p))
-    return odds / (1 + odds)
+    return F.log(u / (1 - u)) - F.log(p / (1 - p))
 
 
 def _places(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """Rows that may be taken once more, with their Pareto rank, as a number from 0 to 1, and its bucket."""
+    """Rows that may be taken once more, with their Pareto rank and its bucket."""
     some = rows.join(plan.where(F.col("fraction") > EDGE).select(*SOURCE, "class", "fraction"), [*SOURCE, "class"])
     ranked = some.withColumn("rank", _rank(F.col("draw"), F.col("fraction")))
     return ranked.select(*SOURCE, "size", *PLACE, F.floor(F.col("rank") * BUCKETS).cast("int").alias("bucket"))
