@@ -1,14 +1,21 @@
 """Main text of web pages, with the templates of their sites taken out.
 
 Pages are parsed twice. The first pass hashes the subtree of every element from its tag, its
-text and its children; Spark counts, for each host, on how many different pages a subtree
-stands. Pages whose whole trees are equal count once, so that a page with many copies is no
-template. Subtrees on MIN_PAGES pages of their host are deleted in the second pass, next to
-elements that their own tag, class or id marks as something other than the article.
+text and its children, and its place from the tags above it; Spark counts, for each host, on how many
+different pages a subtree stands. Pages whose whole trees are equal count once, so that a page with
+many copies is no template. In the second pass two kinds of templates are deleted, next to
+elements that their own tag, class or id marks as something other than the article:
+
+* a subtree that stands at one place outside the articles of MIN_PAGES pages of the host, wherever
+  else it stands: a notice of the site that was put into an article too;
+* a subtree that stands at one place inside the articles of MIN_PAGES pages and has none of
+  the blocks that articles are made of (paragraphs, headings, list items, quotes, cells). A sentence
+  that many articles have stays, as it is text of each; so does all that holds such a block or stands in one. In
+  pages without an article or a main element, where the body is read, subtrees of several blocks go too.
 
 What is left of the article (or of the main element, or of the body, if there is none) is cut
 into blocks at block-level tags. Templates are rows of host and subtree, which meet the subtrees of
-each page; a page gets back those of its own, and no list of a host's templates is ever made.
+each page's own article; only pages that have one get a list, of their own templates.
 
 Null HTML is empty and gives an empty text; a null URL has the empty host. Repeated rows give the
 same text. Columns named like the added ones are replaced.
@@ -54,6 +61,8 @@ SIBLINGS = {
     "th": ({"td", "th"}, {"table", "tr"}),
     "option": ({"option"}, {"select"}),
 }
+#: The blocks of an article's own text.
+TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote q pre td th figcaption".split())
 #: Elements and names that are not the article.
 NOT_TEXT = frozenset(
     "aside audio button canvas dialog embed fieldset footer form frameset head iframe input map menu nav noframes "
@@ -82,6 +91,9 @@ class Node:
     items: list = field(default_factory=list)
     key: int = 0
     size: int = 0
+    blocks: int = 0
+    place: int = 0
+    in_block: bool = False
     holds_article: bool = False
 
 
@@ -157,8 +169,13 @@ def _close(stack: list[Node], tag: str) -> None:
             return
 
 
+def _signed(text: str) -> int:
+    return xxhash.xxh64_intdigest(text) - (1 << 63) or 1
+
+
 def hash_subtrees(root: Node) -> None:
-    """Gives every node a key of its tag, its text and its children's keys; 0 if it has no text."""
+    """Gives every node a key of its tag, its text and its children's keys, 0 if it has no text; the
+    text blocks in it; and a key of the tags above it and its own key."""
     waiting = [(root, False)]
     while waiting:
         node, ready = waiting.pop()
@@ -169,7 +186,18 @@ def hash_subtrees(root: Node) -> None:
         parts = [" ".join(x.split()) if isinstance(x, str) else str(x.key) for x in node.items]
         parts = [x for x in parts if x and x != "0"]
         node.size = sum(len(x) if isinstance(x, str) else x.size for x in node.items)
-        node.key = xxhash.xxh64_intdigest("\x1f".join([node.tag, *parts])) - (1 << 63) or 1 if parts else 0
+        node.key = _signed("\x1f".join([node.tag, *parts])) if parts else 0
+        within = sum(x.blocks for x in node.items if not isinstance(x, str))
+        node.blocks = within + (bool(parts) and node.tag in TEXT_BLOCKS)
+    below = [(root, 0)]
+    while below:
+        node, above = below.pop()
+        for x in node.items:
+            if not isinstance(x, str):
+                x.in_block = node.in_block or node.tag in TEXT_BLOCKS
+        path = _signed(f"{above}/{node.tag}")
+        node.place = _signed(f"{path}\x1f{node.key}") if node.key else 0
+        below += [(x, path) for x in node.items if not isinstance(x, str)]
 
 
 def nodes(root: Node) -> Iterator[Node]:
@@ -188,11 +216,18 @@ def _dropped(node: Node, templates: frozenset, inside: bool, whole: int = 0) ->
     """
     if not inside and (node.tag in ("article", "main") or node.holds_article):
         return False
-    if node.tag in NOT_TEXT or (node.tag == "header" and not inside) or node.key in templates:
+    if node.tag in NOT_TEXT or (node.tag == "header" and not inside):
+        return True
+    if templates and not node.in_block and (node.key in templates or (_own_place(node, inside) and node.place in templates)):
         return True
     return node.marked and not node.size > WRAPPER * whole > 0
 
 
+def _own_place(node: Node, inside: bool) -> bool:
+    """Whether a subtree may go for its place alone: it has no block of an article, or, in a body, several."""
+    return node.blocks == 0 or (not inside and node.blocks > 1)
+
+
 def _articles(root: Node, tag: str) -> list[Node]:
     """The outermost elements of a kind; those within a marked element only if there are no others."""
     found: list[Node] = []
@@ -208,9 +243,13 @@ def _articles(root: Node, tag: str) -> list[Node]:
     return found or marked
 
 
+def _starts(root: Node) -> list[Node]:
+    return _articles(root, "article") or _articles(root, "main") or [root]
+
+
 def main_text(root: Node, templates: frozenset = frozenset()) -> str:
     """Blocks of the article, joined by line ends."""
-    starts = _articles(root, "article") or _articles(root, "main") or [root]
+    starts = _starts(root)
     whole = sum(start.size for start in starts)
     blocks: list[str] = []
     own: list[str] = []
@@ -243,36 +282,72 @@ def main_text(root: Node, templates: frozenset = frozenset()) -> str:
     return "\n".join(blocks)
 
 
+def page_keys(root: Node) -> tuple[set[tuple[int, int]], set[int], set[int]]:
+    """Keys of a hashed page: places and subtrees outside its article, places inside, all subtrees inside.
+
+    Inside are the elements below the starts of the main text that nothing else drops.
+    """
+    starts = _starts(root)
+    inside = starts[0] is not root
+    places, subtrees = set(), set()
+    waiting = [x for node in starts for x in node.items if not isinstance(x, str)]
+    while waiting:
+        node = waiting.pop()
+        if not node.key or _dropped(node, frozenset(), inside):
+            continue
+        if node.in_block:
+            continue
+        subtrees.add(node.key)
+        if _own_place(node, inside) and not node.holds_article:
+            places.add(node.place)
+        waiting += [x for x in node.items if not isinstance(x, str)]
+    outside = set()
+    waiting = [root] if inside else []
+    while waiting:
+        node = waiting.pop()
+        if any(node is start for start in starts):
+            continue
+        if node.key and not node.holds_article and node is not root:
+            outside.add((node.place, node.key))
+        waiting += [x for x in node.items if not isinstance(x, str)]
+    return outside, places, subtrees
+
+
+_KEYS = "host string, page long, content long, out_places array<long>, out_keys array<long>, places array<long>, subtrees array<long>"
+
+
 def subtrees(pages: DataFrame) -> DataFrame:
-    """host, page (hash of its HTML), content (hash of its tree) and subtrees (hashes of its elements with text)."""
+    """host, page (hash of its HTML), content (hash of its tree) and the keys of its elements with text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            contents, keys = [], []
+            rows = []
             for page in batch.column(2).to_pylist():
                 root = parse(page)
                 hash_subtrees(root)
-                own = {n.key for n in nodes(root) if n.key and not n.holds_article and n.tag not in ("article", "main")}
-                contents.append(root.key)
-                keys.append(list(own))
-            made = [pa.array(contents, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *made], ["host", "page", "content", "subtrees"]
-            )
+                outside, places, own = page_keys(root)
+                rows.append((root.key, [p for p, _ in outside], [k for _, k in outside], list(places), list(own)))
+            types = [pa.int64()] + [pa.list_(pa.int64())] * 4
+            columns = zip(*rows, strict=True) if rows else [[]] * 5
+            made = [pa.array(list(c), t) for c, t in zip(columns, types, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], [f.split()[0] for f in _KEYS.split(", ")])
 
-    picked = pages.select("_host", "_page", "_html")
-    return picked.mapInArrow(run, "host string, page long, content long, subtrees array<long>")
+    return pages.select("_host", "_page", "_html").mapInArrow(run, _KEYS)
 
 
 def page_templates(found: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """_host, _page and _templates: the page's own subtrees that stand on min_pages different pages of the host."""
+    """_host, _page and _templates: the templates of the host that stand in the page's own article."""
     found = saved(found, "subtrees")
-    # One page for each content: hashes of the subtrees follow it, wherever the tree is the same.
-    first = found.dropDuplicates(["host", "content"]).select("host", F.explode("subtrees").alias("subtree"))
-    often = saved(first.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages).drop("n"), "templates")
-    own = found.dropDuplicates(["host", "page"]).select("host", "page", F.explode("subtrees").alias("subtree"))
-    own = own.join(often, ["host", "subtree"]).groupBy(F.col("host").alias("_host"), F.col("page").alias("_page"))
-    return saved(own.agg(F.collect_list("subtree").alias("_templates")), "page-templates")
+    # One page for each content: the keys follow it, wherever the tree is the same.
+    first = found.dropDuplicates(["host", "content"])
+    enough = F.col("n") >= min_pages
+    placed = first.select("host", F.explode(F.arrays_zip("out_places", "out_keys")).alias("o"))
+    outside = placed.groupBy("host", "o").agg(F.count("*").alias("n")).where(enough).select("host", F.col("o.out_keys").alias("key")).distinct()
+    inside = first.select("host", F.explode("places").alias("key")).groupBy("host", "key").agg(F.count("*").alias("n")).where(enough).drop("n")
+    often = saved(outside.unionByName(inside), "templates")
+    own = found.dropDuplicates(["host", "page"]).select("host", "page", F.explode(F.concat("places", "subtrees")).alias("key"))
+    own = own.join(often, ["host", "key"]).groupBy(F.col("host").alias("_host"), F.col("page").alias("_page"))
+    return saved(own.agg(F.collect_set("key").alias("_templates")), "page-templates")
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES, url: str = "url", html: str = "html") -> DataFrame:

@@ -115,6 +115,32 @@ def test_templates_of_a_section_and_of_pages_with_one_title(spark):
     assert got == {r[0]: f"own text {r[0]}" for r in rows}
 
 
+def test_article_text_is_never_a_template(spark):
+    """Sentences, items, quotes and cells that many articles of a host share are text of each of them."""
+    shared = "<p>See you soon.</p><ul><li>one</li></ul><blockquote>q</blockquote><div><p>in a box</p></div><table><tr><td>c</table>"
+    want = "See you soon.\none\nq\nin a box\nc"
+    rows = [(k, f"http://a.example/{k}", f"<nav>Menu</nav><article><h1>Title {k}</h1>{shared}</article>") for k in range(40)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in templates.extract(df).collect()}
+    assert got == {k: f"Title {k}\n{want}" for k in range(40)}
+
+
+def test_notices_of_a_site_inside_articles_go(spark):
+    """What stands outside articles too, or is no block of an article, at one place of 8 pages; not on 7."""
+    notice, bare = "<p>All rights with the site</p>", "<div class=box>Join our <b>club</b></div>"
+    rows = []
+    for k in range(30):
+        outside = notice if k < 10 else ""
+        inside = notice if k >= 20 else ""
+        rows.append((k, f"http://b.example/{k}", f"<div>{outside}</div><article><p>own {k}</p>{bare}{inside}</article>"))
+    rows += [(100 + k, f"http://c.example/{k}", f"<article><p>own {k}</p>{bare}</article>") for k in range(7)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in templates.extract(df).collect()}
+    assert all(got[k] == f"own {k}" for k in range(30))
+    assert all(got[100 + k] == f"own {k}\nJoin our club" for k in range(7))
+
+
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.001", "/root/testdata/sf0.1"])
 def test_extraction_of_the_table(spark, sf):
     """Against a plain reading of the article element."""
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
