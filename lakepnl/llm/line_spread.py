@@ -1,15 +1,14 @@
 """Line dedup by the number of sites that a line is found on.
 
-A line is known by the hash of its trimmed text. Lines below `min_words` words never count: one
-or two words stand alone on a line by chance, and on more sites the more pages there are. Lines seen on
+A line is known by the hash of its trimmed text; every line that is not blank counts, whatever its
+length or script. Equal texts count once, for the first of their sites, so that a document
+that was copied from site to site does not make its lines boilerplate. Lines seen on
 several sites get a HyperLogLog sketch of their sites, made on the map side and merged by
 aggregation. Only where the estimate is near the threshold, within a band many times the
 sketch's error, the different sites are counted exactly. Lines on `min_sites` sites or more
 are cross-site boilerplate and are taken out of all documents.
 
-A document that would lose more than `copied_share` percent of its words is a copy of another
-document rather than a page with boilerplate: it is marked and left whole, for near-duplicate
-removal to judge.
+`copied` marks documents that lose more than `copied_share` percent of their words, and decides nothing.
 
 Texts are exploded once to hashes; a document's text is never grouped, only met again with
 the few positions that leave it. Null and empty texts stay as they are. Null sites count as
@@ -25,7 +24,7 @@ from pyspark.sql import functions as F
 
 from lakepnl.llm.text import saved, small_batches
 
-MIN_SITES, MIN_WORDS, COPIED_SHARE = 5, 3, 80
+MIN_SITES, COPIED_SHARE = 5, 80
 SKETCH_BITS = 12
 ADDED = ("n_lines", "n_removed", "copied")
 _TRIM = "^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$"
@@ -54,9 +53,16 @@ def row_key(text: str = "text") -> list[Column]:
     ]
 
 
-def boilerplate(found: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS) -> DataFrame:
-    """Hashes of lines of at least min_words words on at least min_sites sites."""
-    found = found.where(F.col("words") >= min_words)
+def _first_sites(found: DataFrame) -> DataFrame:
+    """The lines with the first site of their text; only texts on several sites are looked up."""
+    by_text = found.groupBy("_hash").agg(F.min("site").alias("_first"), F.max("site").alias("_last"))
+    moved = saved(by_text.where("_first <> _last").select("_hash", "_first"), "copied-texts")
+    return found.join(moved, "_hash", "left").select("line", F.coalesce("_first", "site").alias("site"))
+
+
+def boilerplate(found: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+    """Hashes of lines on at least min_sites sites."""
+    found = _first_sites(found)
     seen = found.select("line", F.xxhash64("site").alias("_site")).groupBy("line").agg(F.count("*").alias("n"), F.min("_site").alias("a"), F.max("_site").alias("b"))
     several = (F.col("n") >= min_sites) & (F.lit(min_sites < 2) | (F.col("a") != F.col("b")))
     wide = saved(seen.where(several).select("line"), "wide-lines")
@@ -73,7 +79,6 @@ def boilerplate(found: DataFrame, min_sites: int = MIN_SITES, min_words: int = M
 def without_boilerplate(
     docs: DataFrame,
     min_sites: int = MIN_SITES,
-    min_words: int = MIN_WORDS,
     copied_share: int = COPIED_SHARE,
     text: str = "text",
     site: str = "source",
@@ -82,7 +87,7 @@ def without_boilerplate(
     small_batches(docs.sparkSession)
     docs = docs.drop(*ADDED)
     found = saved(lines(docs, text, site), "lines")
-    out = found.join(boilerplate(found, min_sites, min_words), "line", "left_semi")
+    out = found.join(boilerplate(found, min_sites), "line", "left_semi")
     out = out.groupBy("_id", "_hash").agg(F.collect_set(F.struct("position", "words")).alias("_gone"))
     out = out.select(
         "_id",
@@ -103,7 +108,7 @@ def without_boilerplate(
     rows = docs.select(*own, *row_key(text)).join(out, ["_id", "_hash"], "left")
     copied = F.coalesce(100 * F.col("_lost") > copied_share * _words(F.col(text)), F.lit(False))
     rows = rows.withColumn("copied", copied)
-    cut = F.col("_out").isNotNull() & ~F.col("copied")
+    cut = F.col("_out").isNotNull()
     n_lines = F.size(F.filter(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")))
     rows = rows.withColumns(
         {

@@ -229,24 +229,26 @@ FROM d LEFT JOIN h USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
 OP5_SQL = rf"""
-WITH l AS (
-  SELECT doc_id, coalesce(source, '') AS site, unnest(string_split(coalesce(text, ''), chr(10))) AS raw,
-         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS p FROM documents
+WITH x AS (
+  SELECT doc_id, text, min(coalesce(source, '')) OVER (PARTITION BY coalesce(text, '')) AS site FROM documents
+), l AS (
+  SELECT doc_id, site, unnest(string_split(coalesce(text, ''), chr(10))) AS raw,
+         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS p FROM x
 ), t AS (
   SELECT *, regexp_replace(raw, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS line,
          len(regexp_extract_all(raw, '[^\x20\x09-\x0D]+')) AS words FROM l
 ), b AS (
-  SELECT line FROM t WHERE words >= {line_spread.MIN_WORDS} GROUP BY line HAVING count(DISTINCT site) >= {line_spread.MIN_SITES}
+  SELECT line FROM t WHERE line <> '' GROUP BY line HAVING count(DISTINCT site) >= {line_spread.MIN_SITES}
 ), m AS (
   SELECT t.*, b.line IS NOT NULL AS hit FROM t LEFT JOIN b USING (line)
 ), s AS (
   SELECT doc_id, count(*) FILTER (line <> '') AS n_lines, count(*) FILTER (hit) AS n_hit,
          100 * sum(CASE WHEN hit THEN words ELSE 0 END) > {line_spread.COPIED_SHARE} * sum(words) AS copied,
-         string_agg(raw, chr(10) ORDER BY p) AS whole, string_agg(raw, chr(10) ORDER BY p) FILTER (NOT hit) AS rest
+         string_agg(raw, chr(10) ORDER BY p) FILTER (NOT hit) AS rest
   FROM m GROUP BY doc_id
 )
-SELECT s.doc_id, n_lines::BIGINT AS n_lines, (CASE WHEN copied THEN 0 ELSE n_hit END)::BIGINT AS n_removed, copied,
-       CASE WHEN copied OR n_hit = 0 THEN d.text ELSE coalesce(rest, '') END AS text
+SELECT s.doc_id, n_lines::BIGINT AS n_lines, n_hit::BIGINT AS n_removed, copied,
+       CASE WHEN n_hit = 0 THEN d.text ELSE coalesce(rest, '') END AS text
 FROM s JOIN documents d USING (doc_id)
 """
 
