@@ -12,8 +12,12 @@ The benchmark is a stated query set. It is collected in blocks of at most BLOCK_
 text, which bounds the broadcast; each block passes over all documents in narrow tasks, and
 a document carries its spans from one block to the next. No document is shuffled.
 
-Null and empty texts, of documents and items, have no words. Repeated items are all named.
-Repeated documents are judged alike. Columns named like the added ones are replaced.
+A gram that stands on more than PLACES places of an item, as in a text of one word over and over, says
+nothing about where; such an item is compared by the set of its windows, in work that grows with the
+lengths of both texts and not with their product.
+
+Null and empty texts, of documents and items, have no words. Repeated items are all named; a null
+item id is an id like any other, and is last among those of a document. Repeated documents are judged alike. Columns named like the added ones are replaced.
 """
 
 from __future__ import annotations
@@ -30,6 +34,7 @@ from pyspark.sql import types as T
 from lakepnl.llm.text import ALNUM, mix, saved, slices, small_batches, words
 
 GRAM, WINDOW = 5, 9
+PLACES = 16
 BLOCK_BYTES = 16 << 20
 _HIT = T.StructType().add("item_id", "string").add("first", "long").add("last", "long")
 ADDED = T.StructType().add("n_words", "long").add("n_hit", "long").add("hits", T.ArrayType(_HIT)).fields
@@ -80,7 +85,13 @@ class Index:
             k = GRAM if n >= span else n
             grams = gram_hashes(found.hashes(), np.zeros(n, np.int64), k)
             kept = winnowed(grams, WINDOW) if n >= span else [0]
-            seeds[k, n >= span] += [(int(grams[p]), len(self.items), int(p)) for p in kept]
+            by_gram = defaultdict(list)
+            for p in kept:
+                by_gram[int(grams[p])].append(int(p))
+            for gram, places in by_gram.items():
+                # A gram on many places of an item gives no place: its windows are looked up instead.
+                places = places if len(places) <= PLACES else [-1]
+                seeds[k, n >= span] += [(gram, len(self.items), p) for p in places]
             self.items.append((item_id, own))
         self.by_length = {}
         for key, rows in seeds.items():
@@ -102,7 +113,11 @@ class Index:
     def matches(self, own: list[bytes], seeds: list[tuple[int, int, int]]) -> set[tuple[str, int, int]]:
         """Seeds of one document, extended: (item, first word, word after the last)."""
         found, reached = set(), {}
-        for p, item, q in sorted(seeds):
+        repeated = {item for _, item, q in seeds if q < 0}
+        for item in repeated:
+            item_id, theirs = self.items[item]
+            found |= {(item_id, a, b) for a, b in shared_windows(own, theirs, min(self.span, len(theirs)))}
+        for p, item, q in sorted(s for s in seeds if s[1] not in repeated):
             item_id, theirs = self.items[item]
             if reached.get((item, p - q), -1) > p or own[p] != theirs[q]:
                 continue
@@ -117,6 +132,23 @@ class Index:
         return found
 
 
+def _in_order(span: tuple[str | None, int, int]) -> tuple:
+    return span[0] is None, span[0] or "", *span[1:]
+
+
+def shared_windows(own: list[bytes], theirs: list[bytes], k: int) -> list[tuple[int, int]]:
+    """Runs of words that lie in windows of k words which both have, in work that grows with their lengths."""
+    known = {b" ".join(theirs[q : q + k]) for q in range(len(theirs) - k + 1)}
+    runs: list[tuple[int, int]] = []
+    for p in range(len(own) - k + 1):
+        if b" ".join(own[p : p + k]) in known:
+            if runs and p <= runs[-1][1] - k + 1:
+                runs[-1] = (runs[-1][0], p + k)
+            else:
+                runs.append((p, p + k))
+    return runs
+
+
 def _block(docs: DataFrame, shared, keep: list[str], text: str) -> DataFrame:
     """One block of items against all documents; hits found before stay."""
     first = [f for f in docs.schema.fields if f.name in keep]
@@ -145,7 +177,7 @@ def _block(docs: DataFrame, shared, keep: list[str], text: str) -> DataFrame:
                     for _, x, y in spans:
                         marked[x:y] = True
                     n_hit.append(int(marked.sum()))
-                    hits.append([dict(zip(("item_id", "first", "last"), s, strict=True)) for s in sorted(spans)])
+                    hits.append([dict(zip(("item_id", "first", "last"), s, strict=True)) for s in sorted(spans, key=_in_order)])
             columns = [batch.column(batch.schema.get_field_index(f.name)) for f in first]
             made = [pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(hits, _HITS)]
             names = [f.name for f in first] + ["n_words", "n_hit", "hits"]
@@ -154,7 +186,6 @@ def _block(docs: DataFrame, shared, keep: list[str], text: str) -> DataFrame:
     return docs.mapInArrow(run, T.StructType(first + ADDED))
 
 
-
 def overlaps(
     docs: DataFrame, benchmark: DataFrame, span: int = GRAM + WINDOW - 1, text: str = "text", keep: list[str] | None = None
 ) -> DataFrame:
@@ -170,7 +201,7 @@ def overlaps(
     keep = [c for c in (keep or docs.columns) if c in docs.columns]
     items = benchmark.select(
         F.col("item_id").cast("string").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    ).where("item_id is not null")
+    )
     size = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     blocks = max(1, -(-size // BLOCK_BYTES))
     for k in range(blocks):
