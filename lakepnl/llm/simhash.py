@@ -13,7 +13,8 @@ count of different fingerprints and does not change the result.
 Components grow by alternating large-star and small-star steps (Kiveris et al. 2014), with
 every step written to the shared folder.
 
-Null and empty texts have no words and get fingerprint zero, which links like any other.
+Null and empty texts have no words and get fingerprint zero, which links like any other. Rows without
+an id link their neighbours too; a component of such rows only has a null component_id.
 Fewer words than a shingle are one shingle. Repeated rows get the same component. Only the
 document id and text are read, so extra columns do not matter.
 """
@@ -168,8 +169,10 @@ def near_duplicates(
     prints = saved(fingerprints(docs, shingle, doc_id), "simhash")
     groups = saved(prints.groupBy("simhash").agg(F.min("doc_id").alias("node")), "simhash-groups")
     pairs = saved(links(groups, max_distance, segments), "simhash-links")
-    left = groups.select(F.col("simhash").alias("a"), F.col("node").alias("u"))
-    right = groups.select(F.col("simhash").alias("b"), F.col("node").alias("v"))
-    roots = components(pairs.join(left, "a").join(right, "b").select("u", "v"))
-    known = groups.join(roots, "node", "left").select("simhash", F.coalesce("root", "node").alias("component_id"))
+    # Links are between fingerprints, so one that only rows without an id have still links its neighbours.
+    roots = components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    rooted = groups.join(roots.withColumnRenamed("node", "simhash"), "simhash", "left")
+    rooted = saved(rooted.select("simhash", "node", F.coalesce("root", "simhash").alias("root")), "simhash-roots")
+    least = saved(rooted.groupBy("root").agg(F.min("node").alias("component_id")), "simhash-least")
+    known = rooted.join(least, "root").select("simhash", "component_id")
     return prints.join(saved(known, "simhash-known"), "simhash", "left").select("doc_id", "simhash", "component_id")
