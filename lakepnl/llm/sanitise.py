@@ -17,7 +17,7 @@ terms come from a second one, in which a bitmap of fixed size passes on the few
 can be terms; exact counts are made from those. No text of a document without entities is
 shuffled.
 
-Null and empty texts have no spans. Repeated rows get the same spans. Columns named like the
+Null and empty texts have no spans. A null id is an id like any other. Repeated rows get the same spans. Columns named like the
 added ones are replaced.
 """
 
@@ -251,7 +251,9 @@ def find_spans(docs: DataFrame, **limits: float) -> DataFrame:
             rows.append(([dict(zip(("first", "last", "kind"), s, strict=True)) for s in made], rewritten(text, made)))
         return pd.DataFrame(rows, columns=["spans", "sanitised"])
 
-    rows = found.join(terms, ["doc_id", "text_hash"], "left")
+    terms = terms.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "terms")
+    same = found["doc_id"].eqNullSafe(terms["_id"]) & (found["text_hash"] == terms["_hash"])
+    rows = found.join(terms, same, "left")
     rows = rows.withColumn("_made", complete("text", "spans", "terms"))
     return rows.select(
         F.col("doc_id").cast("long").alias("doc_id"),

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -104,8 +105,8 @@ def plain_overlap(text, items):
         for p in range(len(words) - k + 1):
             if tuple(words[p : p + k]) in windows:
                 hit |= set(range(p, p + k))
-                found.add(str(item_id))
-    return len(words), len(hit), sorted(found)
+                found.add(None if item_id is None else str(item_id))
+    return len(words), len(hit), sorted(found, key=lambda i: (i is None, i or ""))
 
 
 @pytest.mark.parametrize("block", [16 << 20, 700])
@@ -129,9 +130,8 @@ def test_overlaps_against_windows(spark, monkeypatch, block):
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = decontaminate.overlaps(df, bench).select("*", decontaminate.item_ids().alias("ids")).collect()
     assert len(got) == len(docs)
-    known = [(i, t) for i, t in items if i is not None]
     for row in got:
-        assert (row["n_words"], row["n_hit"], row["ids"]) == plain_overlap(row["text"], known)
+        assert (row["n_words"], row["n_hit"], row["ids"]) == plain_overlap(row["text"], items)
     assert decontaminate.overlaps(df.where("false"), bench).count() == 0
     assert sum(r["n_hit"] for r in decontaminate.overlaps(df, bench.where("false")).collect()) == 0
 
@@ -393,3 +393,44 @@ def test_spans_of_odd_rows(odd_docs):
     got = sanitise.find_spans(odd_docs).collect()
     assert len(got) == odd_docs.count()
     assert [s["kind"] for r in got if r["doc_id"] == 8 for s in r["spans"]] == ["email"]
+
+
+def test_overlaps_of_texts_of_one_word_over_and_over(spark):
+    """Work grows with the lengths, not with their product; ids of items may be null."""
+    docs = spark.createDataFrame([(1, "la " * 40_000), (2, "la " * 12), (3, "b c la " * 9_000)], "doc_id long, text string")
+    items = [("i", "la " * 20_000), ("j", "x " * 30 + "la " * 13), (None, "b c la " * 6_000), ("k", "la la")]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    start = time.monotonic()
+    got = {r["doc_id"]: r for r in decontaminate.overlaps(docs, bench).collect()}
+    assert time.monotonic() - start < 60
+    ids = {k: {h["item_id"] for h in r["hits"]} for k, r in got.items()}
+    assert ids == {1: {"i", "j", "k"}, 2: {"k"}, 3: {None}}
+    assert [got[k]["n_hit"] for k in (1, 2, 3)] == [40_000, 12, 27_000]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from([b"a", b"b"]), max_size=40), st.lists(st.sampled_from([b"a", b"b"]), min_size=3, max_size=40))
+def test_shared_windows(own, theirs):
+    k = 3
+    known = {tuple(theirs[q : q + k]) for q in range(len(theirs) - k + 1)}
+    want = {w for p in range(len(own) - k + 1) if tuple(own[p : p + k]) in known for w in range(p, p + k)}
+    runs = decontaminate.shared_windows(own, theirs, k)
+    assert {w for a, b in runs for w in range(a, b)} == want
+
+
+def test_links_over_fingerprints_of_rows_without_an_id(spark, monkeypatch):
+    prints = spark.createDataFrame([(1, 0), (None, 3), (3, 15), (None, 1 << 40), (5, -1)], "doc_id long, simhash long")
+    monkeypatch.setattr(simhash, "fingerprints", lambda *args: prints)
+    got = {(r["doc_id"], r["simhash"]): r["component_id"] for r in simhash.near_duplicates(prints).collect()}
+    assert got == {(1, 0): 1, (None, 3): 1, (3, 15): 1, (None, 1 << 40): 1, (5, -1): 5}
+    far = spark.createDataFrame([(None, 255), (None, 255)], "doc_id long, simhash long")
+    monkeypatch.setattr(simhash, "fingerprints", lambda *args: far)
+    assert [r["component_id"] for r in simhash.near_duplicates(far).collect()] == [None, None]
+
+
+def test_terms_of_rows_without_an_id(spark):
+    rows = [(k if k % 2 else None, f"row {k} Zorblatt zq@example.org with more {k}") for k in range(8)]
+    rows += [(100 + k, f"plain words of text {k} row with more") for k in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [r for r in sanitise.find_spans(df).collect() if r["spans"]]
+    assert len(got) == 8 and all(any(s["kind"] == sanitise.REMOVED for s in r["spans"]) for r in got)
