@@ -5,6 +5,8 @@ FIXTURES.md describes each derivation; every row of the source tables takes part
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,8 @@ from lakepnl.plans.lake import (
 )
 from lakepnl.plans.marts import fact_price_history, fact_trade_event
 from lakepnl.schemas import TRADE_EVENT_CONTRACT
+from lakepnl.session import new_folder, work_root
+from lakepnl.sources.published import list_names
 
 EVENT_TYPES = ("BUY", "SELL", "MATURITY", "DIVIDEND", "COUPON", "PRICE_UPDATE", "FX_REVALUATION")
 
@@ -26,6 +30,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_kept: dict[tuple[str, str, str], str] = {}
+
+
+def kept(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """An input that is derived once in an application and stored in the shared folder, as landed files are.
+
+    Queries then time and test their operators, not the joins that make their input.
+    """
+    key = (work_root(spark), sf_dir, name)
+    if key not in _kept or "_SUCCESS" not in list_names(spark, _kept[key]):
+        path = new_folder(spark, f"input-{name}")
+        build().write.parquet(path)
+        _kept[key] = path
+    return spark.read.parquet(_kept[key])
+
+
+def prepare(spark: SparkSession, sf_dir: str) -> None:
+    """Stores all inputs that are derived by joins."""
+    for build in (raw_trades, raw_prices, trade_records, good_trade_records):
+        build(spark, sf_dir)
+
+
 def pick(selector: Column, choices: dict[int, object], default: object = None) -> Column:
     """CASE selector WHEN n THEN value ...; columns and plain values may be mixed."""
     expr = F
@@ -87,13 +113,20 @@ def trade_columns() -> dict[str, Column]:
 
 def raw_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trades as read from raw files: texts and doubles, some of them missing."""
-    return trade_base(spark, sf_dir).select(
-        *[c.alias(name) for name, c in trade_columns().items()]
+    return kept(
+        spark,
+        sf_dir,
+        "raw_trades",
+        lambda: trade_base(spark, sf_dir).select(*[c.alias(name) for name, c in trade_columns().items()]),
     )
 
 
 def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices as read from raw files, all texts: an opening and a closing row per key."""
+    return kept(spark, sf_dir, "raw_prices", lambda: _raw_prices(spark, sf_dir))
+
+
+def _raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = (
         table(spark, sf_dir, "lineitem")
         .select(
@@ -195,24 +228,19 @@ def line_position() -> Column:
 
 def trade_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw JSON records with their batch and position; a batch is one order month."""
-    return (
-        trade_base(spark, sf_dir)
-        .withColumn("defect", defect())
-        .select(
-            _batch().alias("batch_id"),
-            line_position().alias("pos"),
-            F.trunc("o_orderdate", "month").alias("ingestion_date"),
-            json_record(F.col("defect")).alias("record"),
-        )
-    )
+    return kept(spark, sf_dir, "trade_records", lambda: _records(spark, sf_dir, defect()))
 
 
 def good_trade_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kept(spark, sf_dir, "good_trade_records", lambda: _records(spark, sf_dir, F.lit(0)))
+
+
+def _records(spark: SparkSession, sf_dir: str, broken: Column) -> DataFrame:
     return trade_base(spark, sf_dir).select(
         _batch().alias("batch_id"),
         line_position().alias("pos"),
         F.trunc("o_orderdate", "month").alias("ingestion_date"),
-        json_record(F.lit(0)).alias("record"),
+        json_record(broken).alias("record"),
     )
 
 

@@ -46,6 +46,19 @@ def test_mart_sorts_only_grouped_rows(facts):
     assert "HashAggregate" in lines[-1] and "partial_sum" in lines[-1]
 
 
+def test_mart_deals_each_side_once_for_aggregate_and_join(spark, facts):
+    """Trades by their five keys and then by session and instrument; prices by session and instrument."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        text = plan(marts.pnl_daily(*facts, "1998-06-01", "full"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    dealt = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", text)
+    assert len(dealt) == 3
+    assert sum("book_id" not in d for d in dealt) == 2 and all("instrument_id" in d for d in dealt)
+
+
 def test_script_parameters_fold(spark, facts):
     text = "SELECT instrument_id FROM {t} WHERE :load_mode = 'full' OR session_date = try_cast(:session_date AS DATE)"
     one = plan(run_script(spark, text, {"session_date": "1998-06-01"}, t=facts[0]))
