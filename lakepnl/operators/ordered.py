@@ -34,10 +34,11 @@ def range_cuts(df: DataFrame, keys: list[str], order: str, rows: int = ROWS_PER_
     There is one cut for `rows` rows in all, so this is small next to the rows. The quantiles come
     from sketches that are merged; they only have to rise, so they need not be exact.
     """
-    large = stored(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > rows), "large-keys")
-    most = large.agg(F.max("_rows")).first()[0]
-    if most is None:
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    most = counts.agg(F.max("_rows")).first()[0]
+    if most is None or most <= rows:
         return None
+    large = stored(counts.where(F.col("_rows") > rows), "large-keys")
     n = min(-(-most // rows), MOST_RANGES)
     held = large.select(*[F.col(k).alias(f"_{k}") for k in keys], "_rows")
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], F.lit(True))

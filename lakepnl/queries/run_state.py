@@ -19,8 +19,8 @@ from lakepnl.streaming import transitions as tr
 AS_OF = "2024-02-10"
 PROD = "PIPE#reporting#prod"
 RANGE = 4096
-#: Rows of a range of the log: so few that long runs are cut at any scale.
-RUN_ROWS = 50
+#: Rows of a range of the log.
+RUN_ROWS = 1000
 SLICES = 4
 
 
