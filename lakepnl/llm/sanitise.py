@@ -1,24 +1,28 @@
 """Information-theoretic sanitisation of personal data.
 
 Protected entities are the personal data themselves: e-mail addresses, IP addresses, payment
-cards and phone numbers, found by fixed patterns. A term (a word near an entity) reveals an
-entity when meeting the term tells most of what there is to know about the entity: with
+cards and phone numbers, found by fixed patterns. A term (any word of a text with an entity)
+reveals the entity when meeting the term tells most of what there is to know about the entity: with
 IC(e) = log(N / n_e), PMI(e; t) = log(n_et N / (n_e n_t)) and document counts over the whole
 corpus, the disclosure of t is PMI / IC(e), which is 1 if every document with t has e and 0
 if they are independent. Terms at REMOVE or more are removed from documents with the entity,
 terms at GENERALISE or more are replaced by the kind of the entity.
 
-A pair counts only with MIN_CONTEXTS different lines, and with half as many different lines as
-different texts: the words around an entity in near-copies of one document say nothing about it.
-Equal texts count once here, so copies neither make a pair nor unmake it.
-
-Entities and the words near them come out of one pass over all texts. Document counts of the
-terms come from a second one, in which a bitmap of fixed size passes on the few words that
-can be terms; exact counts are made from those. No text of a document without entities is
-shuffled.
-
-Null and empty texts have no spans. A null id is an id like any other. Repeated rows get the same spans. Columns named like the
-added ones are replaced.
+A pair counts only with MIN_CONTEXTS different documents, and with half as many different documents
+as different texts: what near-copies of one document share says nothing about an entity in them.
+Documents differ if the least hashes of their word windows do, in the middle of three orders of
+hashes; so near-copies mostly count as one. Equal texts count once here, so copies neither make a pair
+nor unmake it. The documents of a pair must be more than chance gives: with d different ones,
+d PMI is log N at least, as words met a few times stand beside a frequent entity anyway.
+
+Entities come out of one pass over all texts. Only texts with an entity of MIN_CONTEXTS different
+documents give terms. Document counts of these come from a second pass, in which a bitmap of fixed
+size passes on the few words that can be terms; exact counts are made from those. As a pair is in no
+more documents than its entity, a term beyond N^(1-g) n_e^g documents (g: GENERALISE) reveals no
+entity of n_e documents; such terms go before pairs are made. No text is shuffled without an entity.
+
+Null and empty texts have no spans. A null id is an id like any other: spans go by the text. Repeated
+rows get the same spans. Columns named like the added ones are replaced.
 """
 
 from __future__ import annotations
@@ -39,8 +43,7 @@ from lakepnl.llm.text import ALNUM, Words, saved, slices, small_batches, words
 KINDS = ("email", "ip", "card", "phone")
 REMOVED, GENERALISED = "term", "hint"
 MIN_CONTEXTS, GENERALISE, REMOVE = 3, 0.7, 0.9
-NEAR_WORDS = 8
-MIN_TERM_BYTES = 3
+WINDOW, ORDERS = 5, 3
 BITMAP = 1 << 22
 
 #: The patterns of the contract. Possessive runs and a look behind keep them linear.
@@ -104,77 +107,90 @@ def text_words(text: str) -> tuple[Words, np.ndarray]:
     return words(data, np.array([0, len(data)]), ALNUM), place
 
 
-def contexts(text: str, spans: list[Span]) -> list[tuple[int, int, int]]:
-    """(entity, term, line): the words near each entity within its line that are no entity themselves."""
-    if not spans:
-        return []
+def free_words(text: str, spans: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First, last and hash of the words that touch none of the spans (first, last, ...)."""
     found, place = text_words(text)
     first, last = place[found.start], place[found.end]
-    hashes = found.hashes().view(np.int64)
-    taken = np.zeros(len(first), bool)
-    for a, b, _, _ in spans:
-        taken[np.searchsorted(last, a, "right") : np.searchsorted(first, b)] = True
-    rows = set()
-    for a, b, kind, value in spans:
-        low, high = text.rfind("\n", 0, a) + 1, text.find("\n", b)
-        high = len(text) if high < 0 else high
-        line, entity = _long(text[low:high]), _long(f"{kind}:{value}")
-        before = np.searchsorted(last, a, "right")
-        after = np.searchsorted(first, b)
-        for k in (*range(max(0, before - NEAR_WORDS), before), *range(after, min(len(first), after + NEAR_WORDS))):
-            if not taken[k] and first[k] >= low and last[k] <= high and found.end[k] - found.start[k] >= MIN_TERM_BYTES:
-                rows.add((entity, int(hashes[k]), line))
-    return sorted(rows)
+    covered = np.zeros(len(text) + 1, np.int32)
+    for a, b, *_ in spans:
+        covered[a] += 1
+        covered[b] -= 1
+    before = np.concatenate(([0], np.cumsum(np.cumsum(covered) > 0)))
+    free = before[last] == before[first]
+    return first[free], last[free], found.hashes().view(np.int64)[free]
+
+
+def sketch(text: str) -> list[int]:
+    """The least hash of the text's windows of WINDOW words in each of ORDERS orders."""
+    own = text_words(text)[0].hashes()
+    windows = np.zeros(max(1, len(own) - WINDOW + 1), np.uint64)
+    for k in range(min(WINDOW, len(own))):
+        windows = windows * np.uint64(0x9E3779B97F4A7C15) + own[k : k + len(windows)]
+    made = []
+    for order in range(1, ORDERS + 1):
+        mixed = (windows ^ (windows >> np.uint64(29))) * np.uint64(2 * order * 0xBF58476D1CE4E5B9 + 1 & (1 << 64) - 1)
+        made.append(int((mixed ^ (mixed >> np.uint64(32))).min().view(np.int64)))
+    return made
 
 
 _SPAN = T.StructType().add("first", "long").add("last", "long").add("kind", "string").add("entity", "long")
-_CONTEXT = T.StructType().add("entity", "long").add("term", "long").add("line", "long")
 _ARROW_SPAN = pa.list_(
     pa.struct([("first", pa.int64()), ("last", pa.int64()), ("kind", pa.string()), ("entity", pa.int64())])
 )
-_ARROW_CONTEXT = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("line", pa.int64())]))
 
 
 def detect(docs: DataFrame) -> DataFrame:
-    """doc_id, spans, contexts and, where there are spans, the text and its hash."""
+    """doc_id, spans and, where there are spans, the text, its hash and its sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans, near, texts, keys = [], [], [], []
+            spans, texts, keys, sketches = [], [], [], []
             for text in batch.column(1):
                 text = text.as_py() or ""
                 own = base_spans(text)
                 spans.append(
                     [{"first": a, "last": b, "kind": KINDS[k], "entity": _long(f"{k}:{v}")} for a, b, k, v in own]
                 )
-                near.append(
-                    [dict(zip(("entity", "term", "line"), r, strict=True)) for r in contexts(text, own)]
-                )
                 texts.append(text if own else None)
                 keys.append(_long(text) if own else None)
+                sketches.append(sketch(text) if own else None)
             made = [
                 pa.array(spans, _ARROW_SPAN),
-                pa.array(near, _ARROW_CONTEXT),
                 pa.array(texts, pa.string()),
                 pa.array(keys, pa.int64()),
+                pa.array(sketches, pa.list_(pa.int64())),
             ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *made], ["doc_id", "spans", "contexts", "text", "text_hash"]
+                [batch.column(0), *made], ["doc_id", "spans", "text", "text_hash", "sketch"]
             )
 
     schema = (
         T.StructType()
         .add("doc_id", "string")
         .add("spans", T.ArrayType(_SPAN))
-        .add("contexts", T.ArrayType(_CONTEXT))
         .add("text", "string")
         .add("text_hash", "long")
+        .add("sketch", T.ArrayType(T.LongType()))
     )
     return docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
         run, schema
     )
 
 
+def words_of(held: DataFrame) -> DataFrame:
+    """text_hash and term, once each, for the words of texts that are no entity themselves."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, text, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                terms = np.unique(free_words(text, [(s["first"], s["last"]) for s in spans])[2])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(terms), key, np.int64)), pa.array(terms)], ["text_hash", "term"]
+                )
+
+    return held.select("text_hash", "text", "spans").mapInArrow(run, "text_hash long, term long").distinct()
+
+
 def document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """term and n_t, the number of documents that have it, for the column term."""
     spark = docs.sparkSession
@@ -201,6 +217,12 @@ def document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return seen.join(terms.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n_t"))
 
 
+def different(sketches: str = "sketch") -> Column:
+    """How many different documents the sketches of a group's texts are of: the middle of the counts by order."""
+    counts = [F.count_distinct(F.get(F.col(sketches), F.lit(k))) for k in range(ORDERS)]
+    return F.sort_array(F.array(*counts))[ORDERS // 2]
+
+
 def disclosures(
     found: DataFrame,
     docs: DataFrame,
@@ -209,23 +231,26 @@ def disclosures(
     remove: float = REMOVE,
 ) -> DataFrame:
     """entity, term, disclosure and action (term: remove, hint: generalise) of revealing pairs."""
-    pairs = found.select("doc_id", "text_hash", F.explode("contexts").alias("c")).select(
-        "doc_id", "text_hash", "c.entity", "c.term", "c.line"
+    held = found.where("text_hash is not null")
+    n = float(max(1, docs.count()))
+    own = held.select("text_hash", "sketch", F.explode(F.array_distinct("spans.entity")).alias("entity"))
+    texts = saved(own.groupBy("entity", "text_hash").agg(F.count("*").alias("copies"), F.any_value("sketch").alias("sketch")), "entity-texts")
+    entities = texts.groupBy("entity").agg(F.sum("copies").alias("n_e"), different().alias("n_docs"))
+    entities = entities.where((F.col("n_docs") >= min_contexts) & (F.col("n_e") < n))
+    texts = saved(texts.join(entities.select("entity", "n_e"), "entity"), "known-entities")
+    terms = saved(words_of(held.join(texts.select("text_hash").distinct(), "text_hash", "left_semi")), "entity-words")
+    seen = document_counts(docs, terms)
+    most = F.pow(F.lit(n), F.lit(1 - generalise)) * F.pow(F.col("n_e").cast("double"), F.lit(generalise))
+    pairs = terms.join(seen, "term").join(texts, "text_hash").where(F.col("n_t") <= most * (1 + 1e-9))
+    both = pairs.groupBy("entity", "term").agg(F.sum("copies").alias("n_et"), F.max("n_e").alias("n_e"), F.max("n_t").alias("n_t"))
+    pmi = F.log(F.col("n_et") * F.lit(n) / (F.col("n_e") * F.greatest("n_t", "n_et")))
+    likely = both.withColumns({"pmi": pmi, "disclosure": pmi / F.log(F.lit(n) / F.col("n_e"))})
+    likely = saved(likely.where(F.col("disclosure") >= generalise).select("entity", "term", "pmi", "disclosure"), "likely")
+    support = pairs.select("entity", "term", "sketch").join(likely, ["entity", "term"], "left_semi")
+    support = support.groupBy("entity", "term").agg(F.count("*").alias("n_texts"), different().alias("n_docs"))
+    made = likely.join(support, ["entity", "term"]).where(
+        (F.col("n_docs") >= min_contexts) & (2 * F.col("n_docs") >= F.col("n_texts")) & (F.col("n_docs") * F.col("pmi") >= F.log(F.lit(n)))
     )
-    texts = pairs.select("entity", "term", "line", "text_hash").distinct()
-    lines = texts.groupBy("entity", "term", "line").agg(F.count("*").alias("n"))
-    support = lines.groupBy("entity", "term").agg(F.count("*").alias("n_lines"), F.sum("n").alias("n_rows"))
-    likely = saved(support.where((F.col("n_lines") >= min_contexts) & (2 * F.col("n_lines") >= F.col("n_rows"))), "likely")
-    own = pairs.join(likely, ["entity", "term"], "left_semi").select("entity", "term", "doc_id", "text_hash").distinct()
-    both = own.groupBy("entity", "term").agg(F.count("*").alias("n_et"))
-    entities = found.select("doc_id", "text_hash", F.explode(F.array_distinct("spans.entity")).alias("entity"))
-    entities = entities.distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    terms = document_counts(docs, likely)
-    n = F.lit(float(max(1, docs.count())))
-    pmi = F.log(F.col("n_et") * n / (F.col("n_e") * F.greatest("n_t", "n_et")))
-    share = F.when(F.col("n_e") < n, pmi / F.log(n / F.col("n_e"))).otherwise(0.0)
-    made = both.join(terms, "term").join(entities, "entity").withColumn("disclosure", share)
-    made = made.where(F.col("disclosure") >= generalise)
     return made.select(
         "entity", "term", "disclosure", F.when(F.col("disclosure") >= remove, REMOVED).otherwise(GENERALISED).alias("action")
     )
@@ -236,41 +261,36 @@ def find_spans(docs: DataFrame, **limits: float) -> DataFrame:
     small_batches(docs.sparkSession)
     found = saved(detect(docs), "personal-data")
     flagged = saved(disclosures(found, docs, **limits), "disclosures")
-    held = found.where(F.size("spans") > 0)
-    entities = held.select("doc_id", "text_hash", F.explode(F.array_distinct("spans.entity")).alias("entity")).distinct()
-    terms = entities.join(flagged, "entity").groupBy("doc_id", "text_hash", "term").agg(F.max("action").alias("action"))
-    terms = terms.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("term", "action")).alias("terms"))
+    held = found.where("text_hash is not null")
+    entities = held.select("text_hash", F.explode(F.array_distinct("spans.entity")).alias("entity")).distinct()
+    terms = entities.join(flagged, "entity").groupBy("text_hash", "term").agg(F.max("action").alias("action"))
+    terms = terms.groupBy("text_hash").agg(F.collect_list(F.struct("term", "action")).alias("terms"))
 
     @F.pandas_udf("spans array<struct<first:long,last:long,kind:string>>, sanitised string")
     def complete(texts: pd.Series, spans: pd.Series, terms: pd.Series) -> pd.DataFrame:
         rows = []
         for text, base, own in zip(texts, spans, terms, strict=True):
             made = [(s["first"], s["last"], s["kind"]) for s in base]
-            if text is not None and own is not None and len(own):
+            if own is not None and len(own):
                 made += term_spans(text, made, {t["term"]: t["action"] for t in own})
             rows.append(([dict(zip(("first", "last", "kind"), s, strict=True)) for s in made], rewritten(text, made)))
         return pd.DataFrame(rows, columns=["spans", "sanitised"])
 
-    terms = terms.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "terms")
-    same = found["doc_id"].eqNullSafe(terms["_id"]) & (found["text_hash"] == terms["_hash"])
-    rows = found.join(terms, same, "left")
-    rows = rows.withColumn("_made", complete("text", "spans", "terms"))
-    return rows.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+    own = held.join(terms, "text_hash", "left").withColumn("_made", complete("text", "spans", "terms"))
+    own = own.select("doc_id", F.col("spans").alias("base_spans"), "_made.spans", "_made.sanitised")
+    none = found.where("text_hash is null").select(
+        "doc_id",
         F.col("spans").alias("base_spans"),
-        F.col("_made.spans").alias("spans"),
-        F.col("_made.sanitised").alias("sanitised"),
+        F.expr("cast(array() as array<struct<first:bigint,last:bigint,kind:string>>)").alias("spans"),
+        F.lit(None).cast("string").alias("sanitised"),
     )
+    return own.unionByName(none).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def term_spans(text: str, base: list[tuple[int, int, str]], actions: dict[int, str]) -> list[tuple[int, int, str]]:
     """Every occurrence of the terms in the text that touches no base span."""
-    found, place = text_words(text)
-    made = []
-    for a, b, h in zip(place[found.start].tolist(), place[found.end].tolist(), found.hashes().view(np.int64).tolist(), strict=True):
-        if h in actions and not any(a < y and x < b for x, y, _ in base):
-            made.append((a, b, actions[h]))
-    return made
+    found = zip(*(x.tolist() for x in free_words(text, base)), strict=True)
+    return [(a, b, actions[h]) for a, b, h in found if h in actions]
 
 
 def rewritten(text: str | None, spans: list[tuple[int, int, str]]) -> str | None:

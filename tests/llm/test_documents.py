@@ -368,6 +368,8 @@ def test_revealing_terms(spark):
     rows = [(k, f"Report {k} by Zebulon Quartz of unit {k}, zq@example.com, on day {k}.\nPlain text é {k}") for k in range(6)]
     rows += [(10 + k, f"Report number {k} of unit {k} by somebody on a day.\nAnother {k}") for k in range(40)]
     rows += [(100 + k, "Copied Lantern page, lantern@example.com, every copy the same") for k in range(30)]
+    # Words on the other lines are terms as well: these ones also stand in texts without the address.
+    rows += [(300 + k, f"Plain text é {k}") for k in range(20)]
     rows += [(200, None), (201, ""), (0, rows[0][1])]
     df = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, spans string")
     got = {r["doc_id"]: r for r in sanitise.find_spans(df).collect()}
@@ -389,6 +391,84 @@ def test_copies_do_not_unmake_a_pair(spark):
     assert all("Zebulon" not in got[k]["sanitised"] for k in (0, 1, 2, 10, 13))
 
 
+def plain_disclosures(texts):
+    """Every pair of entity and word of some text with its disclosure, by counting documents one pair at a time."""
+    kinds = [{(k, v) for *_, k, v in sanitise.base_spans(t)} for t in texts]
+    own = []
+    for t in texts:
+        for a, b, *_ in reversed(sanitise.base_spans(t)):
+            t = t[:a] + "\x00" * (b - a) + t[b:]
+        own.append(set(re.findall(r"[A-Za-z0-9\u0080-\U0010FFFF]+", t)))
+    n, out = len(texts), {}
+    for e in set().union(*kinds):
+        n_e = sum(e in k for k in kinds)
+        for w in set().union(*(o for o, k in zip(own, kinds, strict=True) if e in k)):
+            n_t = sum(w in o for o in own)
+            n_et = sum(w in o and e in k for o, k in zip(own, kinds, strict=True))
+            out[e, w] = (math.log(n_et * n / (n_e * n_t)) / math.log(n / n_e), n_et)
+    return out
+
+
+def test_disclosures_against_plain_counts(spark):
+    rng = random.Random(7)
+    names = [f"name{k}" for k in range(8)]
+    common = [f"word{k}" for k in range(200)]
+    texts = []
+    for k in range(300):
+        text = rng.choices(common, k=30)
+        if k % 5 == 0:
+            person = k // 5 % 8
+            text.insert(3, f"{names[person]}\n" if rng.random() < 0.9 else "\n")
+            text.insert(20, f"p{person}@example.org")
+        elif rng.random() < 0.03:
+            text.insert(8, rng.choice(names))
+        texts.append(" ".join(text))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = saved(sanitise.detect(docs), "found")
+    got = {(r["entity"], r["term"]): r for r in sanitise.disclosures(found, docs).collect()}
+    want = {
+        (sanitise._long(f"{k}:{v}"), int(sanitise.free_words(w, [])[2][0])): d
+        for ((k, v), w), (d, n) in plain_disclosures(texts).items()
+        if n >= 3 and d >= sanitise.GENERALISE and n * d * math.log(300 / 8) >= math.log(300)
+    }
+    assert len(want) > 5 and set(want) == set(got)
+    assert all(got[k]["disclosure"] == pytest.approx(want[k]) for k in want)
+    assert {r["action"] for r in got.values()} <= {sanitise.REMOVED, sanitise.GENERALISED}
+
+
+def test_terms_anywhere_in_the_text(spark):
+    """A name on another line, far from the address, goes; what near-copies share and common words stay."""
+    rng = random.Random(3)
+    filler = [f"filler{k}" for k in range(60)]
+
+    def some(n):
+        return " ".join(rng.choices(filler, k=n))
+
+    rows = [(k, f"Zorblatt Quimby, head of office\n{some(40)}\nwrite to zq@example.org {some(9)}") for k in range(6)]
+    copied = some(60).split()
+    for k in range(30):
+        own = copied.copy()
+        own[k] = f"edit{k}"
+        rows.append((100 + k, f"Copied Lantern page {' '.join(own)}\nmail lantern@example.com"))
+    rows += [(200 + k, f"head of office of {some(30)} write to us") for k in range(150)]
+    # An address in a third of all texts: words that stand beside it a few times by chance are no sign of it.
+    rows += [(1000 + k, f"{some(20)} rare{k % 40} info@example.com") for k in range(120)]
+    got = {r["doc_id"]: r for r in sanitise.find_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    texts = dict(rows)
+    gone = {k: {texts[k][s["first"] : s["last"]] for s in got[k]["spans"]} for k in texts}
+    assert all(gone[k] == {"Zorblatt", "Quimby", "zq@example.org"} for k in range(6))
+    assert all(gone[100 + k] == {"lantern@example.com"} for k in range(30))
+    assert all(gone[1000 + k] == {"info@example.com"} for k in range(120))
+
+
+def test_free_words_and_sketches():
+    text = "é one zq@example.org\ntwo, three"
+    first, last, _ = sanitise.free_words(text, sanitise.base_spans(text))
+    assert [text[a:b] for a, b in zip(first, last, strict=True)] == ["é", "one", "two", "three"]
+    assert sanitise.sketch("a b c d e f") != sanitise.sketch("a b c d e g")
+    assert sanitise.sketch("A b, c") == sanitise.sketch("a b c") and len(sanitise.sketch("")) == sanitise.ORDERS
+
+
 def test_spans_of_odd_rows(odd_docs):
     got = sanitise.find_spans(odd_docs).collect()
     assert len(got) == odd_docs.count()
