@@ -214,7 +214,9 @@ def document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
                 )
 
     seen = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "term long, n long")
-    return seen.join(terms.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n_t"))
+    # Counted first: the tasks hand on a row for each of their terms, and one for each term meets the wanted ones.
+    seen = saved(seen.groupBy("term").agg(F.sum("n").alias("n_t")), "term-counts")
+    return seen.join(terms.select("term").distinct(), "term", "left_semi")
 
 
 def different(sketches: str = "sketch") -> Column:
