@@ -16,10 +16,9 @@ nor unmake it. The documents of a pair must be more than chance gives: with d di
 d PMI is log N at least, as words met a few times stand beside a frequent entity anyway.
 
 Entities come out of one pass over all texts. Only texts with an entity of MIN_CONTEXTS different
-documents give terms. Document counts of these come from a second pass, in which a bitmap of fixed
-size passes on the few words that can be terms; exact counts are made from those. As a pair is in no
-more documents than its entity, a term beyond N^(1-g) n_e^g documents (g: GENERALISE) reveals no
-entity of n_e documents; such terms go before pairs are made. No text is shuffled without an entity.
+documents give terms, and only those that MIN_CONTEXTS of an entity's texts share are counted in
+a second pass, in which a bitmap of fixed size passes on the few words that can be terms; exact counts are
+made from those. Documents are told apart for pairs that disclose enough. No text without an entity is shuffled.
 
 Null and empty texts have no spans. A null id is an id like any other: spans go by the text. Repeated
 rows get the same spans. Columns named like the added ones are replaced.
@@ -45,6 +44,8 @@ REMOVED, GENERALISED = "term", "hint"
 MIN_CONTEXTS, GENERALISE, REMOVE = 3, 0.7, 0.9
 WINDOW, ORDERS = 5, 3
 BITMAP = 1 << 22
+#: Rows of terms that a task counts before it hands them on.
+AT_ONCE = 1 << 20
 
 #: The patterns of the contract. Possessive runs and a look behind keep them linear.
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -199,19 +200,29 @@ def document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     bits[[r["bit"] for r in marked.collect()]] = True
     shared = spark.sparkContext.broadcast(np.packbits(bits))
 
+    def counted(held: list[pd.Series]) -> pa.RecordBatch:
+        counts = pd.concat(held).groupby(level=0).sum()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(counts.index.to_numpy(np.int64)), pa.array(counts.to_numpy(np.int64))], ["term", "n"]
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = np.unpackbits(shared.value).astype(bool)
+        held, rows = [], 0
         for batch in batches:
-            for _, stop, data, offsets in slices(batch):
+            for _, _, data, offsets in slices(batch):
                 found = words(data, offsets, ALNUM)
                 hashes = found.hashes().view(np.int64)
                 own = wanted[hashes % BITMAP]
                 document = np.repeat(np.arange(len(offsets) - 1), found.counts())[own]
                 pairs = pd.DataFrame({"term": hashes[own], "document": document}).drop_duplicates()
-                counts = pairs.groupby("term").size()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(counts.index.to_numpy(np.int64)), pa.array(counts.to_numpy(np.int64))], ["term", "n"]
-                )
+                held.append(pairs.groupby("term").size())
+                rows += len(held[-1])
+                if rows >= AT_ONCE:
+                    yield counted(held)
+                    held, rows = [], 0
+        if held:
+            yield counted(held)
 
     seen = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "term long, n long")
     # Counted first: the tasks hand on a row for each of their terms, and one for each term meets the wanted ones.
@@ -241,15 +252,15 @@ def disclosures(
     entities = entities.where((F.col("n_docs") >= min_contexts) & (F.col("n_e") < n))
     texts = saved(texts.join(entities.select("entity", "n_e"), "entity"), "known-entities")
     terms = saved(words_of(held.join(texts.select("text_hash").distinct(), "text_hash", "left_semi")), "entity-words")
-    seen = document_counts(docs, terms)
-    most = F.pow(F.lit(n), F.lit(1 - generalise)) * F.pow(F.col("n_e").cast("double"), F.lit(generalise))
-    pairs = terms.join(seen, "term").join(texts, "text_hash").where(F.col("n_t") <= most * (1 + 1e-9))
-    both = pairs.groupBy("entity", "term").agg(F.sum("copies").alias("n_et"), F.max("n_e").alias("n_e"), F.max("n_t").alias("n_t"))
+    pairs = terms.join(texts, "text_hash")
+    both = pairs.groupBy("entity", "term").agg(F.sum("copies").alias("n_et"), F.count("*").alias("n_texts"), F.max("n_e").alias("n_e"))
+    both = saved(both.where(F.col("n_texts") >= min_contexts), "entity-terms")
+    seen = document_counts(docs, both)
     pmi = F.log(F.col("n_et") * F.lit(n) / (F.col("n_e") * F.greatest("n_t", "n_et")))
-    likely = both.withColumns({"pmi": pmi, "disclosure": pmi / F.log(F.lit(n) / F.col("n_e"))})
-    likely = saved(likely.where(F.col("disclosure") >= generalise).select("entity", "term", "pmi", "disclosure"), "likely")
+    likely = both.join(seen, "term").withColumns({"pmi": pmi, "disclosure": pmi / F.log(F.lit(n) / F.col("n_e"))})
+    likely = saved(likely.where(F.col("disclosure") >= generalise).select("entity", "term", "n_texts", "pmi", "disclosure"), "likely")
     support = pairs.select("entity", "term", "sketch").join(likely, ["entity", "term"], "left_semi")
-    support = support.groupBy("entity", "term").agg(F.count("*").alias("n_texts"), different().alias("n_docs"))
+    support = support.groupBy("entity", "term").agg(different().alias("n_docs"))
     made = likely.join(support, ["entity", "term"]).where(
         (F.col("n_docs") >= min_contexts) & (2 * F.col("n_docs") >= F.col("n_texts")) & (F.col("n_docs") * F.col("pmi") >= F.log(F.lit(n)))
     )
