@@ -10,8 +10,8 @@ terms at GENERALISE or more are replaced by the kind of the entity.
 
 A pair counts only with MIN_CONTEXTS different documents, and with half as many different documents
 as different texts: what near-copies of one document share says nothing about an entity in them.
-Documents differ if the least hashes of their word windows do, in the middle of three orders of
-hashes; so near-copies mostly count as one. Equal texts count once here, so copies neither make a pair
+Documents differ if the least hashes of their word windows do; of the counts in ORDERS orders of hashes
+the second least is taken, so near-copies mostly count as one. Equal texts count once here, so copies neither make a pair
 nor unmake it. The documents of a pair must be more than chance gives: with d different ones,
 d PMI is log N at least, as words met a few times stand beside a frequent entity anyway.
 
@@ -42,7 +42,7 @@ from lakepnl.llm.text import ALNUM, Words, saved, slices, small_batches, words
 KINDS = ("email", "ip", "card", "phone")
 REMOVED, GENERALISED = "term", "hint"
 MIN_CONTEXTS, GENERALISE, REMOVE = 3, 0.7, 0.9
-WINDOW, ORDERS = 5, 3
+WINDOW, ORDERS = 5, 9
 BITMAP = 1 << 22
 #: Rows of terms that a task counts before it hands them on.
 AT_ONCE = 1 << 20
@@ -231,9 +231,8 @@ def document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def different(sketches: str = "sketch") -> Column:
-    """How many different documents the sketches of a group's texts are of: the middle of the counts by order."""
-    counts = [F.count_distinct(F.get(F.col(sketches), F.lit(k))) for k in range(ORDERS)]
-    return F.sort_array(F.array(*counts))[ORDERS // 2]
+    """How many different documents the sketches of a group's texts are of: the second least of the counts by order."""
+    return F.sort_array(F.array(*[F.count_distinct(F.get(F.col(sketches), F.lit(k))) for k in range(ORDERS)]))[1]
 
 
 def disclosures(

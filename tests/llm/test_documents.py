@@ -450,6 +450,10 @@ def test_terms_anywhere_in_the_text(spark):
         own = copied.copy()
         own[k] = f"edit{k}"
         rows.append((100 + k, f"Copied Lantern page {' '.join(own)}\nmail lantern@example.com"))
+    edited = some(110).split()
+    for k in range(4):
+        own = [f"change{k}x{i}" if rng.random() < 0.05 else w for i, w in enumerate(edited)]
+        rows.append((150 + k, f"Edited Harbour page {' '.join(own)} harbour@example.com"))
     rows += [(200 + k, f"head of office of {some(30)} write to us") for k in range(150)]
     # An address in a third of all texts: words that stand beside it a few times by chance are no sign of it.
     rows += [(1000 + k, f"{some(20)} rare{k % 40} info@example.com") for k in range(120)]
@@ -458,6 +462,7 @@ def test_terms_anywhere_in_the_text(spark):
     gone = {k: {texts[k][s["first"] : s["last"]] for s in got[k]["spans"]} for k in texts}
     assert all(gone[k] == {"Zorblatt", "Quimby", "zq@example.org"} for k in range(6))
     assert all(gone[100 + k] == {"lantern@example.com"} for k in range(30))
+    assert all(gone[150 + k] == {"harbour@example.com"} for k in range(4))
     assert all(gone[1000 + k] == {"info@example.com"} for k in range(120))
 
 
