@@ -10,12 +10,13 @@ encoded by the tokenizer. The store is emptied when it holds STORED units, which
 from __future__ import annotations
 
 import os
+from itertools import chain
 
 import numpy as np
 
 from lakepnl.llm.text import Words
 
-STORED = 600_000
+STORED = 1 << 21
 _ALL = np.arange(256)
 _BLANK = (_ALL == 0x20) | ((_ALL >= 0x09) & (_ALL <= 0x0D))
 _LETTER = ((_ALL >= 0x41) & (_ALL <= 0x5A)) | ((_ALL >= 0x61) & (_ALL <= 0x7A))
@@ -54,25 +55,31 @@ class Encoder:
         self._empty()
 
     def _empty(self) -> None:
-        self.slot: dict[int, int] = {}
+        # Sorted hashes of the units that are stored, and where the sizes and ids of each lie.
+        self.keys, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.pool, self.filled = np.zeros(1 << 20, np.uint32), 0
         self.at, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
 
     def encode(self, text: str) -> list[int]:
         return self.model.encode(text, add_special_tokens=False).ids
 
-    def _learn(self, keys: list[int], texts: list[str]) -> None:
-        if len(self.slot) + len(keys) > len(self.at):
+    def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
+        """Stores new units, given with their hashes in order."""
+        known, made = len(self.keys), [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+        size = np.fromiter(map(len, made), np.int64, len(made))
+        ends = self.filled + np.cumsum(size)
+        if known + len(keys) > len(self.at):
             more = max(len(keys), len(self.at))
             self.at, self.size = (np.concatenate([x, np.zeros(more, np.int64)]) for x in (self.at, self.size))
-        for key, made in zip(keys, self.model.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            ids = made.ids
-            if self.filled + len(ids) > len(self.pool):
-                self.pool = np.concatenate([self.pool, np.zeros(max(len(ids), len(self.pool)), np.uint32)])
-            k = self.slot[key] = len(self.slot)
-            self.at[k], self.size[k] = self.filled, len(ids)
-            self.pool[self.filled : self.filled + len(ids)] = ids
-            self.filled += len(ids)
+        if ends[-1] > len(self.pool):
+            more = max(int(ends[-1]) - len(self.pool), len(self.pool))
+            self.pool = np.concatenate([self.pool, np.zeros(more, np.uint32)])
+        self.at[known : known + len(keys)], self.size[known : known + len(keys)] = ends - size, size
+        self.pool[self.filled : ends[-1]] = np.fromiter(chain.from_iterable(made), np.uint32, int(size.sum()))
+        self.filled = int(ends[-1])
+        place = np.searchsorted(self.keys, keys)
+        self.keys = np.insert(self.keys, place, keys)
+        self.slot = np.insert(self.slot, place, np.arange(known, known + len(keys)))
 
     def _slots(self, found: Words) -> np.ndarray:
         """Where the ids of each unit are stored."""
@@ -81,21 +88,20 @@ class Encoder:
         ranked = hashes[order]
         new = np.ones(len(ranked), bool)
         new[1:] = ranked[1:] != ranked[:-1]
-        keys = ranked[new].tolist()
-        if len(self.slot) + len(keys) > STORED:
+        keys = ranked[new]
+        if len(self.keys) + len(keys) > STORED:
             self._empty()
-        missing = [k for k, key in enumerate(keys) if key not in self.slot]
-        if missing:
-            which = order[np.flatnonzero(new)[missing]]
-            texts = [
-                found.data[a:b].tobytes().decode("utf-8", "surrogatepass")
-                for a, b in zip(found.start[which], found.end[which], strict=True)
-            ]
-            self._learn([keys[k] for k in missing], texts)
-        slots = np.fromiter(map(self.slot.__getitem__, keys), np.int64, len(keys))
+        missing = np.ones(len(keys), bool)
+        if len(self.keys):
+            near = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            missing = self.keys[near] != keys
+        if missing.any():
+            which, data = order[np.flatnonzero(new)[missing]], found.data.tobytes()
+            spans = zip(found.start[which].tolist(), found.end[which].tolist(), strict=True)
+            self._learn(keys[missing], [data[a:b].decode("utf-8", "surrogatepass") for a, b in spans])
         inverse = np.empty(len(order), np.int64)
         inverse[order] = np.cumsum(new) - 1
-        return slots[inverse]
+        return self.slot[np.searchsorted(self.keys, keys)][inverse]
 
     def counts(self, found: Words) -> np.ndarray:
         """Number of tokens of each unit."""

@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from lakepnl.llm import packing, queries, token_tree
+from lakepnl.llm import packing, queries, token_tree, tokens
 from lakepnl.llm.packing import filled_bins
 from lakepnl.llm.text import slices
 from lakepnl.llm.tokens import Encoder, units
@@ -42,6 +42,21 @@ def test_units_give_the_ids_of_whole_texts(model, small):
     assert ids_of(model, texts) == [model.encode(t) for t in texts]
 
 
+def test_units_are_stored_in_order_and_once(small, monkeypatch):
+    """op2: known units are found in sorted arrays, not one by one; the store may be emptied at any time."""
+    texts = [r["text"] for r in small.select("text").limit(60).collect()] + ODD
+    model, asked = Encoder(PATH), []
+    want = [model.encode(t) for t in texts]
+    learn = model._learn
+    model._learn = lambda keys, new: (asked.extend(new), learn(keys, new))[1]
+    for _ in range(2):
+        assert [ids_of(model, [t])[0] for t in texts] == want
+    assert len(asked) == len(set(asked)) == len(model.keys) > 0
+    assert isinstance(model.keys, np.ndarray) and (np.diff(model.keys.astype(object)) > 0).all()
+    monkeypatch.setattr(tokens, "STORED", 50)
+    assert [ids_of(model, [t])[0] for t in texts] == want
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(chars, max_size=30).map("".join))
 def test_units_of_any_text(text):
