@@ -4,7 +4,8 @@ A document is kept as a segment tree over its units of text (see tokens.py): lea
 of units with their bytes and tokens, inner nodes are the sums of two nodes below. An edit
 goes down the tree to the unit before its first byte, cuts and encodes again only the units
 that it touches, with a few bytes of context on both sides, and carries the new sums up the
-path. The count of the edited document is the root's.
+path. The count of the edited document is the root's. The documents of a batch are edited side by
+side, so that the tokenizer's store is asked once for the next edit of all of them.
 
 The borders of units depend on the three bytes before them at most, so units that end before
 the edit, or begin three bytes after it, stay as they are.
@@ -18,6 +19,7 @@ it, and null replacements are empty. Repeated rows count alike. Extra columns pa
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakepnl.llm.text import Words, slices, small_batches
+from lakepnl.llm.text import SLICE, Words, slices, small_batches
 from lakepnl.llm.tokens import Encoder, encoder, units
 
 BLOCK = 64
@@ -45,8 +47,11 @@ class Tree:
     def _grow(self) -> None:
         self.width = 1 << (len(self.leaves) - 1).bit_length()
         self.sums = np.zeros((2 * self.width, 2), np.int64)
-        for k, (sizes, tokens) in enumerate(self.leaves):
-            self.sums[self.width + k] = sizes.sum(), tokens.sum()
+        lengths = np.fromiter((len(sizes) for sizes, _ in self.leaves), np.int64, len(self.leaves))
+        for k in (0, 1):
+            ends = np.concatenate(([0], np.cumsum(np.concatenate([leaf[k] for leaf in self.leaves]))))
+            at = np.concatenate(([0], np.cumsum(lengths)))
+            self.sums[self.width : self.width + len(lengths), k] = np.diff(ends[at])
         level = self.width
         while level > 1:
             level //= 2
@@ -91,26 +96,50 @@ class Tree:
                 node //= 2
                 self.sums[node] = self.sums[2 * node] + self.sums[2 * node + 1]
 
-    def edit(self, data: bytes, first: int, last: int, new: bytes, model: Encoder) -> tuple[bytes, int]:
-        """The text with data[first:last] replaced, and how many units were encoded for it."""
-        edited = data[:first] + new + data[last:]
+    def touch(self, data: bytes, first: int, last: int, new: bytes) -> Touch:
+        """What has to be encoded when data[first:last] is replaced."""
         if not data:
-            found = units(np.frombuffer(edited, np.uint8), np.array([0, len(edited)]))
-            self.leaves = Tree(found.end - found.start, model.counts(found)).leaves
-            self._grow()
-            return edited, len(found.start)
+            return Touch(None, None, 0, new)
         leaf, unit, begin = self.find(max(0, first - 1))
         far_leaf, far_unit, far = self.find(min(len(data) - 1, last + CONTEXT - 1))
         end = far + int(self.leaves[far_leaf][0][far_unit])
         context = max(0, begin - CONTEXT)
-        touched = np.frombuffer(data[context:first] + new + data[last:end], np.uint8)
-        found = units(touched, np.array([0, len(touched)]))
-        skip = begin - context
-        start = np.unique(np.concatenate(([skip], found.start[found.start > skip])))
-        start = start[start < len(touched)]
-        own = Words(touched, start, np.append(start[1:], len(touched))[: len(start)], np.array([0, len(start)]))
-        self.replace((leaf, unit), (far_leaf, far_unit), own.end - own.start, model.counts(own))
-        return edited, len(start)
+        return Touch((leaf, unit), (far_leaf, far_unit), begin - context, data[context:first] + new + data[last:end])
+
+    def put(self, touch: Touch, sizes: np.ndarray, tokens: np.ndarray) -> None:
+        """Puts the units of a touch in their place."""
+        if touch.low is None:
+            self.leaves = Tree(sizes, tokens).leaves
+            self._grow()
+        else:
+            self.replace(touch.low, touch.high, sizes, tokens)
+
+
+class Touch(NamedTuple):
+    """Units that an edit touches, as (leaf, unit) of the first and last, none in an empty text, and their
+    bytes after the edit; the first skip bytes are context and belong to the units before."""
+
+    low: tuple[int, int] | None
+    high: tuple[int, int] | None
+    skip: int
+    data: bytes
+
+
+def _encoded(touches: list[Touch], model: Encoder) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Bytes and tokens of the units of each touch, which meet the tokenizer about SLICE bytes at once."""
+    ends = np.cumsum([len(t.data) for t in touches])
+    for own in np.split(np.arange(len(touches)), np.flatnonzero(np.diff(ends // SLICE)) + 1):
+        group = [touches[k] for k in own]
+        offsets = np.concatenate(([0], np.cumsum([len(t.data) for t in group])))
+        found = units(np.frombuffer(b"".join(t.data for t in group), np.uint8), offsets)
+        begin = offsets[:-1] + [t.skip for t in group]
+        inner = found.start > np.repeat(begin, found.counts())
+        start = np.sort(np.concatenate((begin[begin < offsets[1:]], found.start[inner])))
+        first = np.searchsorted(start, offsets)
+        end = np.minimum(np.append(start[1:], offsets[-1])[: len(start)], np.repeat(offsets[1:], np.diff(first)))
+        tokens = model.counts(Words(found.data, start, end, first))
+        for a, b in zip(first, first[1:], strict=False):
+            yield end[a:b] - start[a:b], tokens[a:b]
 
 
 _UNITS = T.StructType().add("bytes", "binary").add("tokens", "binary")
@@ -158,11 +187,8 @@ def apply_edits(trees: DataFrame, tokenizer: str, text: str = "text", edits: str
         model = encoder(tokenizer)
         for batch in batches:
             column = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-            rows = []
-            for whole, n, stored, changes in zip(
-                column[text], column["n_tokens"], column["units"], column[edits], strict=True
-            ):
-                rows.append(_edited(whole.as_py(), n.as_py(), stored.as_py(), changes.as_py() or [], model))
+            columns = (column[text], column["n_tokens"], column["units"], column[edits])
+            rows = _edited_rows([tuple(x.as_py() for x in row) for row in zip(*columns, strict=True)], model)
             made = list(zip(*rows, strict=True)) if rows else [[]] * 7
             tree = pa.StructArray.from_arrays(
                 [pa.array(made[1], pa.binary()), pa.array(made[2], pa.binary())], ["bytes", "tokens"]
@@ -183,29 +209,56 @@ def apply_edits(trees: DataFrame, tokenizer: str, text: str = "text", edits: str
     return trees.mapInArrow(run, schema)
 
 
+class _Document:
+    """A text under edit, the edits still to be made, next one last, and its tree."""
+
+    def __init__(self, whole: str | None, before: int, stored: dict, changes: list[dict] | None) -> None:
+        sizes, tokens = (np.frombuffer(stored[k], "<u4").astype(np.int64) for k in ("bytes", "tokens"))
+        self.whole, self.before, self.changed, self.encoded = whole, before, bool(changes), 0
+        self.tree, self.changes = Tree(sizes, tokens), []
+        self.data = (whole or "").encode("utf-8", "surrogatepass")
+        if changes:
+            starts = np.flatnonzero((np.frombuffer(self.data, np.uint8) & 0xC0) != 0x80)
+            byte_of = np.append(starts, len(self.data))
+            for change in sorted(changes, key=lambda c: -c["first"]):
+                first, last = (int(byte_of[min(max(0, change[k]), len(byte_of) - 1)]) for k in ("first", "last"))
+                new = (change["new"] or "").encode("utf-8", "surrogatepass")
+                self.changes.append((first, max(first, last), new))
+            self.changes.reverse()
+
+    def next(self) -> Touch:
+        first, last, new = self.changes.pop()
+        touch = self.tree.touch(self.data, first, last, new)
+        self.data = self.data[:first] + new + self.data[last:]
+        return touch
+
+    def row(self) -> tuple:
+        whole = self.data.decode("utf-8", "surrogatepass") if self.changed else self.whole
+        sizes, tokens = (np.concatenate([leaf[k] for leaf in self.tree.leaves]) for k in (0, 1))
+        return (
+            whole,
+            sizes.astype("<u4").tobytes(),
+            tokens.astype("<u4").tobytes(),
+            self.before,
+            self.tree.n_tokens,
+            len(sizes),
+            self.encoded,
+        )
+
+
+def _edited_rows(rows: list[tuple], model: Encoder) -> list[tuple]:
+    """Edits all documents of a batch side by side: the next edit of each, encoded together, until none is left."""
+    documents = [_Document(*row) for row in rows]
+    while left := [d for d in documents if d.changes]:
+        touches = [d.next() for d in left]
+        for document, touch, (sizes, tokens) in zip(left, touches, _encoded(touches, model), strict=True):
+            document.tree.put(touch, sizes, tokens)
+            document.encoded += len(sizes)
+    return [d.row() for d in documents]
+
+
 def _edited(whole: str | None, before: int, stored: dict, changes: list[dict], model: Encoder) -> tuple:
-    sizes, tokens = (np.frombuffer(stored[k], "<u4").astype(np.int64) for k in ("bytes", "tokens"))
-    tree = Tree(sizes, tokens)
-    data = (whole or "").encode("utf-8", "surrogatepass")
-    starts = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
-    byte_of = np.append(starts, len(data))
-    encoded = 0
-    for change in sorted(changes, key=lambda c: -c["first"]):
-        first, last = (int(byte_of[min(max(0, change[k]), len(byte_of) - 1)]) for k in ("first", "last"))
-        data, n = tree.edit(data, first, max(first, last), (change["new"] or "").encode("utf-8", "surrogatepass"), model)
-        encoded += n
-    if changes:
-        whole = data.decode("utf-8", "surrogatepass")
-    sizes, tokens = (np.concatenate([leaf[k] for leaf in tree.leaves]) for k in (0, 1))
-    return (
-        whole,
-        sizes.astype("<u4").tobytes(),
-        tokens.astype("<u4").tobytes(),
-        before,
-        tree.n_tokens,
-        len(sizes),
-        encoded,
-    )
+    return _edited_rows([(whole, before, stored, changes)], model)[0]
 
 
 def sample_edits(text: str = "text", new: str = "source") -> Column:

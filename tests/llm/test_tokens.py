@@ -174,6 +174,28 @@ def test_few_units_are_encoded_again(model):
     assert got[6] <= 6 and got[4] == len(model.encode(got[0]))
 
 
+def test_documents_of_a_batch_are_edited_side_by_side(model):
+    """op8: the store is asked once for the next edit of all documents, with the rows of one document at a time."""
+    texts = [None, "", *(f"some plain words {k}, and  more of them. é雪 " * (k % 90) + "x" * k for k in range(200)), *ODD]
+    edits = []
+    for n in (len(t or "") for t in texts):
+        spans = [(n * k // 4, min(n * k // 4 + k, n * (k + 1) // 4)) for k in range(4)]
+        edits.append([{"first": a, "last": b, "new": f"<{k}'s "} for k, (a, b) in enumerate(spans)])
+    edits[3], edits[4] = None, [{"first": 2, "last": 2, "new": "a b"}, {"first": 2, "last": 2, "new": None}]
+    rows = [(t, 7, stored(model, t or ""), e) for t, e in zip(texts, edits)]
+    want, asked = [_edited(*row[:3], row[3] or [], model) for row in rows], []
+    counts = model.counts
+    model.counts = lambda found: (asked.append(len(found.start)), counts(found))[1]
+    try:
+        assert token_tree._edited_rows(rows, model) == want
+    finally:
+        model.counts = counts
+    assert len(asked) <= 4
+    for (text, _, _, changes), got in zip(rows, want):
+        assert got[4] == len(model.encode(got[0] or "")) and got[3] == 7
+        assert changes is None or got[0] == applied(text or "", [(e["first"], e["last"], e["new"] or "") for e in changes])
+
+
 def test_counts_of_the_table(spark, sf, small, model):
     got = {r["doc_id"]: r for r in queries.QUERIES["op8_token_counts"](spark, sf).collect()}
     edits = small.select("doc_id", "text", token_tree.sample_edits().alias("edits")).collect()
