@@ -279,6 +279,33 @@ def test_probabilities_sum_to_one(spark, small, monkeypatch):
         assert math.isclose(r["score"], other["score"], rel_tol=1e-9)
 
 
+def test_pairs_seen_once_are_counted_but_not_stored(spark, monkeypatch):
+    """op7: only pairs seen several times, or once and in texts held out too, are rows; contexts are dealt by word."""
+    monkeypatch.setattr(pitman_yor, "AT_LEAST", 3)
+    monkeypatch.setattr(pitman_yor, "SPREAD", 8)
+    rows = [(k, f"a b{k % 3} a c{k} {'d ' * (k % 4)}") for k in range(20)] + [(20, None), (30, "a c1 new c2 a"), (31, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    pairs, fresh = Counter(), set()
+    for k, text in rows:
+        own = ["<end>", *(text or "").split(), "<end>"]
+        (fresh.update if k >= 30 else pairs.update)(zip(own, own[1:]))
+    counts = pitman_yor.word_counts(df.where("doc_id < 30"))
+    n = sum(r["c"] for r in counts.collect())
+    spread = pitman_yor.Spread.of(counts, n)
+    assert n == sum(pairs.values()) and spread.pieces.max() > 1
+    got = pitman_yor.count_pairs(df, F.col("doc_id") >= 30, spread, np.array([-1]), n).collect()
+    kept = sorted(c for pair, c in pairs.items() if c > 1 or pair in fresh)
+    assert sorted(r["c"] for r in got if r["kind"] == pitman_yor.PAIR) == kept
+    once = [pair for pair, c in pairs.items() if c == 1]
+    assert 0 < len(kept) < len(pairs)
+    for kind, place in ((pitman_yor.ONCE_BEFORE, 0), (pitman_yor.ONCE_WORD, 1)):
+        sums = Counter()
+        for r in got:
+            sums[r["word"]] += r["c"] if r["kind"] == kind else 0
+        assert sorted(x for x in sums.values() if x) == sorted(Counter(pair[place] for pair in once).values())
+    assert sum(r["c"] for r in got if r["kind"] == pitman_yor.ONCE_CLASSES) == len(once)
+
+
 def test_rare_words_are_contexts(spark):
     """Words far below a class of their own predict the word that follows them."""
     rows = [(k, f"key{k % 900} value{k % 900} filler{k % 7} filler{k % 5}") for k in range(2700)]
