@@ -40,7 +40,7 @@ from lakepnl.schemas import (
 )
 from lakepnl.session import FREES_SHUFFLES, new_folder, settings, stored
 from lakepnl.sources import landing, layers
-from lakepnl.sources.published import look
+from lakepnl.sources.published import look, open_files
 from lakepnl.sources.raw import (
     csv_file_rows,
     has_files,
@@ -462,20 +462,28 @@ def gold_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers.read_loaded(spark, f"{base}/gold/gold_report_pnl").drop(*ETL_COLUMNS)
 
 
-def _broken_trades(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Folders of records with one fault each, by the fault."""
+def _broken_trades(spark: SparkSession, sf_dir: str, *some: str) -> dict[str, str]:
+    """Folders of records with one fault each, by the fault: all faults, or some; `none` has no files.
+
+    A record is made and searched for its price once, whatever is made of it.
+    """
     good, base = fx.good_trade_records(spark, sf_dir), new_folder(spark, "faults")
-    price = '"price":[^,}]*,'
+    null, record, nulled = '"price":null,', F.col("record"), F.col("nulled")
     faults = {
-        "good": F.col("record"),
-        "missing": F.regexp_replace("record", price, ""),
-        "null": F.regexp_replace("record", price, '"price":null,'),
-        "text": F.regexp_replace("record", price, '"price":"1",'),
-        "list": F.concat(F.lit("["), "record", F.lit("]")),
+        "good": record,
+        "missing": F.replace(nulled, F.lit(null), F.lit("")),
+        "null": nulled,
+        "text": F.replace(nulled, F.lit(null), F.lit('"price":"1",')),
+        "list": F.concat(F.lit("["), record, F.lit("]")),
     }
-    for name, record in faults.items():
-        good.select(record.alias("value")).write.option("compression", "gzip").text(f"{base}/{name}")
-    return {name: f"{base}/{name}" for name in (*faults, "none")}
+    names = some or tuple(faults)
+    made = good.select(record, F.regexp_replace(record, '"price":[^,}]*,', null).alias("nulled"))
+    values = F.array(*[F.struct(F.lit(n).alias("fault"), faults[n].alias("value")) for n in names])
+    with open_files(spark):
+        made.select(F.inline(values)).write.partitionBy("fault").option("compression", "gzip").option(
+            "zlib.compress.level", "THREE"
+        ).text(base)
+    return {name: f"{base}/fault={name}" for name in (*names, "none")}
 
 
 def sample_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
