@@ -96,7 +96,7 @@ def land_prices(spark: SparkSession, sf_dir: str, sep: str = ",") -> str:
     prices, closing = fx.raw_prices(spark, sf_dir), F.col("is_closing_price") == "true"
     backwards = prices.where(closing).select(F.lit("x").alias("note"), *reversed(prices.columns))
     for part in (prices.where(~closing), backwards):
-        part.write.mode("append").option("header", True).option("sep", sep).csv(path)
+        part.write.mode("append").option("header", True).option("sep", sep).option("compression", "gzip").csv(path)
     return path
 
 
@@ -501,12 +501,12 @@ def sample_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry_input_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The inputs of both lake jobs: once good, once with a fault in every input."""
-    trades, prices = _broken_trades(spark, sf_dir), land_prices(spark, sf_dir)
+    trades, prices = _broken_trades(spark, sf_dir, "good", "list"), land_prices(spark, sf_dir)
     base = new_folder(spark, "standardized")
-    layers.write_layer(fx.standardized_trades(spark, sf_dir), f"{base}/trade_event")
-    layers.write_layer(fx.standardized_prices(spark, sf_dir), f"{base}/price_history")
+    layers.write_layer(fx.standardized_trades(spark, sf_dir), f"{base}/trade_event", deal="look")
+    layers.write_layer(fx.standardized_prices(spark, sf_dir), f"{base}/price_history", deal="look")
     wrong = fx.standardized_trades(spark, sf_dir).withColumn("price", F.col("price").cast("string"))
-    layers.write_layer(wrong, f"{base}/wrong")
+    layers.write_layer(wrong, f"{base}/wrong", deal="look")
     first, second = "validated_to_standardized", "standardized_to_silver"
     good = job_input_check(
         spark, first, {"trade_event": trades["good"], "price_history": prices}, documents=False
